@@ -206,7 +206,7 @@ def attrition_by_manager(
     leavers = as_of_join(
         terminations.where(F.col("effective_date") >= F.add_months(day, -months)),
         history,
-        "employee_key",
+        "worker_id",
         "effective_date",
         ["manager_employee_key"],
         prefix="then_",

@@ -91,12 +91,9 @@ def as_of_join(
         .where(F.col(key).isNotNull() & F.col("_day").isNotNull())
         .distinct()
     )
-    points = (
-        starts.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
-        .groupBy(key, "_day")
-        .agg(F.any_value("_version", True).alias("_version"), F.bool_or("_asked").alias("_asked"))
-    )
-    so_far = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    points = starts.unionByName(asked.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    # On equal days the version comes first, so an event on its first day sees it.
+    so_far = Window.partitionBy(key).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
     found = (
         points.withColumn("_v", F.last("_version", ignorenulls=True).over(so_far))
         .where("_asked")

@@ -31,13 +31,10 @@ def nearest_by_date(
         .distinct()
         .withColumn("_asked", F.lit(True))
     )
-    points = (
-        stops.unionByName(probes, allowMissingColumns=True)
-        .groupBy(key, "_day")
-        .agg(F.any_value("_stop", True).alias("_stop"), F.bool_or("_asked").alias("_asked"))
-    )
+    points = stops.unionByName(probes, allowMissingColumns=True)
     whole = Window.partitionBy(key)
-    by_day = whole.orderBy(F.col("_day").asc_nulls_last())
+    # On equal days the stop comes first and is the closest day before, at distance zero.
+    by_day = whole.orderBy(F.col("_day").asc_nulls_last(), "_asked")
     dated = F.when(F.col("_day").isNotNull(), F.col("_stop"))
     before = F.last(dated, ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
     after = F.first(dated, ignorenulls=True).over(by_day.rowsBetween(0, Window.unboundedFollowing))

@@ -1,7 +1,7 @@
 """Daily headcount from effective-dated history.
 
 The daily fact is never built by joining a calendar to the history: that is an inequality join. History
-and employment episodes meet in one equi-join on the employee, the validity bounds become a closed day
+and employment episodes meet in one equi-join on the worker, the validity bounds become a closed day
 interval, and the interval is expanded, summed over, or cut by period, depending on the question.
 """
 
@@ -50,8 +50,10 @@ def active_intervals(
     """
     as_col = lambda d: d if isinstance(d, Column) else F.lit(d)
     p = scd.select("employee_key", "valid_from_date", "valid_to_date", *PROFILE_COLUMNS)
-    e = episodes.select("employee_key", *[c for c in EPISODE_COLUMNS if c in episodes.columns])
-    joined = p.join(e, "employee_key").where(
+    e = episodes.select("worker_id", *[c for c in EPISODE_COLUMNS if c in episodes.columns])
+    # The history is already partitioned and sorted by worker id, from which the employee key derives:
+    # joining on the id keeps the history out of another shuffle.
+    joined = p.join(e, "worker_id").where(
         F.col("valid_from_date").isNotNull() & F.col("hire_date").isNotNull()
     )
     # Both ends are exclusive in the history, greatest/least ignore open (null) bounds.

@@ -49,10 +49,12 @@ def materialize(
         return df
     if kind != "table":
         raise ValueError(f"unknown kind {kind!r}")
+    if partition_by:
+        # Brings the rows of a partition value together, so not every task writes a file per value.
+        # Rebalancing splits values that are too large for one task, which ``repartition`` would not.
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
-        # Rows of one month reach a handful of files instead of one file per task and month.
-        writer = df.repartition(*partition_by).write.mode("overwrite").format("parquet")
         writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", path)

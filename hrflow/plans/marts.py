@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,42 +59,38 @@ def mart_workforce(
     )
 
 
-def _daily(
-    facts: DataFrame,
-    reqs: DataFrame,
-    date: str,
-    id_col: str,
-    counts: Mapping[str, Column | None],
-    average: tuple[str, str] | None = None,
-) -> DataFrame:
-    """Distinct ids per day, department and function, in total and per condition.
+# Counted columns of the funnel mart as (kind of row, status that must hold or None).
+FUNNEL_COUNTS = {
+    "applications_submitted": ("application", None),
+    "applications_hired": ("application", "hired"),
+    "applications_rejected": ("application", "rejected"),
+    "offers_extended": ("offer", None),
+    "offers_accepted": ("offer", "accepted"),
+    "offers_declined": ("offer", "declined"),
+    "hires": ("hire", None),
+}
+FUNNEL_AVERAGES = {"avg_days_in_funnel": "application", "avg_days_to_respond": "offer"}
 
-    First one row per group and id (so a busy group is shared by many tasks), then plain sums. This
-    replaces several ``count(distinct ...)`` in one aggregate, for which the engine would copy every row
-    once per distinct expression.
-    """
-    keys = ["event_date", "department", "function_name"]
-    flags = {name: F.lit(True) if cond is None else F.coalesce(cond, F.lit(False)) for name, cond in counts.items()}
-    rows = facts.select(
-        F.to_date(date).alias("event_date"),
-        "requisition_id",
-        F.col(id_col).alias("_id"),
-        *[c.alias(name) for name, c in flags.items()],
-        *([F.col(average[1]).alias("_x")] if average else []),
+
+def _funnel_rows(applications: DataFrame, offers: DataFrame) -> DataFrame:
+    """Applications, offers and hires in one shape. An accepted offer gives two rows: offer and hire."""
+    row = lambda kind, day, days: F.struct(
+        F.lit(kind).alias("kind"), F.to_date(day).alias("event_date"), days.cast("bigint").alias("days")
     )
-    per_id = (
-        rows.join(reqs, "requisition_id")
-        .groupBy(*keys, "_id")
-        .agg(
-            *[F.bool_or(name).alias(name) for name in flags],
-            *([F.sum("_x").alias("_sum"), F.count("_x").alias("_n")] if average else []),
-        )
+    submitted = applications.select(
+        "requisition_id",
+        F.col("application_id").alias("id"),
+        "status",
+        F.inline(F.array(row("application", "submitted_at", F.col("days_in_funnel")))),
     )
-    known = F.col("_id").isNotNull()
-    return per_id.groupBy(*keys).agg(
-        *[F.count_if(known & F.col(name)).alias(name) for name in flags],
-        *([safe_ratio(F.sum("_sum"), F.sum("_n")).alias(average[0])] if average else []),
+    hire = F.when(F.col("status") == "accepted", row("hire", "responded_at", F.lit(None)))
+    extended = offers.select(
+        "requisition_id",
+        F.col("offer_id").alias("id"),
+        "status",
+        F.inline(F.array_compact(F.array(row("offer", "extended_at", F.col("days_to_respond")), hire))),
     )
+    return submitted.unionByName(extended)
 
 
 def mart_funnel(applications: DataFrame, offers: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -104,66 +98,53 @@ def mart_funnel(applications: DataFrame, offers: DataFrame, jobs: DataFrame) ->
 
     Applications count on the submission day, offers and their outcome on the day they were extended,
     hires on the day of the response. Combinations with a null department or function are listed, with
-    zeros, because counts are attached by equality.
+    zeros and without averages: such groups match nothing by equality.
+
+    Distinct ids are found first, on group, kind and id, so a busy group is shared by many tasks; the
+    group totals are then plain sums. Several ``count(distinct ...)`` in one aggregate would instead copy
+    every row once per expression.
     """
-    reqs = jobs.select("requisition_id", "department", "function_name")
-    status = F.col("status")
-    parts = [
-        _daily(
-            applications,
-            reqs,
-            "submitted_at",
-            "application_id",
-            {
-                "applications_submitted": None,
-                "applications_hired": status == "hired",
-                "applications_rejected": status == "rejected",
-            },
-            ("avg_days_in_funnel", "days_in_funnel"),
-        ),
-        _daily(
-            offers,
-            reqs,
-            "extended_at",
-            "offer_id",
-            {
-                "offers_extended": None,
-                "offers_accepted": status == "accepted",
-                "offers_declined": status == "declined",
-            },
-            ("avg_days_to_respond", "days_to_respond"),
-        ),
-        _daily(offers.where(status == "accepted"), reqs, "responded_at", "offer_id", {"hires": None}),
-    ]
-    # One aggregate over the tagged union is the spine and the three left joins in a single shuffle of
-    # already aggregated rows.
     keys = ["event_date", "department", "function_name"]
-    union = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
-    counts = [
+    statuses = sorted({s for _, s in FUNNEL_COUNTS.values() if s})
+    per_id = (
+        _funnel_rows(applications, offers)
+        .join(jobs.select("requisition_id", "department", "function_name"), "requisition_id")
+        .groupBy(*keys, "kind", "id")
+        .agg(
+            *[F.bool_or(F.col("status") == s).alias(s) for s in statuses],
+            F.sum("days").alias("days"),
+            F.count("days").alias("timed"),
+        )
+    )
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+
+    def of(kind: str, x: Column) -> Column:
+        return F.when(F.col("kind") == kind, x)
+
+    def count(kind: str, status: str | None) -> Column:
+        hit = known & F.col("id").isNotNull() & (F.col("kind") == kind)
+        return F.count_if(hit if status is None else hit & F.col(status))
+
+    totals = per_id.groupBy(*keys).agg(
+        *[count(kind, status).alias(name) for name, (kind, status) in FUNNEL_COUNTS.items()],
+        *[
+            safe_ratio(F.sum(of(kind, F.when(known, F.col("days")))), F.sum(of(kind, F.col("timed")))).alias(name)
+            for name, kind in FUNNEL_AVERAGES.items()
+        ],
+    )
+    return totals.select(
+        *keys,
         "applications_submitted",
         "applications_hired",
         "applications_rejected",
+        "avg_days_in_funnel",
         "offers_extended",
         "offers_accepted",
         "offers_declined",
+        "avg_days_to_respond",
         "hires",
-    ]
-    averages = ["avg_days_in_funnel", "avg_days_to_respond"]
-    complete = F.col("event_date").isNotNull() & F.col("department").isNotNull() & F.col("function_name").isNotNull()
-    merged = union.groupBy(*keys).agg(*[F.max(c).alias(c) for c in counts + averages])
-    merged = merged.withColumns(
-        {
-            **{c: F.coalesce(F.when(complete, F.col(c)), F.lit(0)).cast("bigint") for c in counts},
-            **{c: F.when(complete, F.col(c)) for c in averages},
-        }
-    )
-    return merged.select(
-        *keys,
-        *counts[:3],
-        averages[0],
-        *counts[3:6],
-        averages[1],
-        counts[6],
         safe_ratio(F.col("offers_accepted"), F.col("offers_extended"), 3).alias("offer_acceptance_rate"),
         safe_ratio(F.col("hires"), F.col("applications_submitted"), 4).alias("funnel_conversion_rate"),
     )

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hrflow.operators import history
-from hrflow.operators.calendar import dim_date, period_start, time_spine
+from hrflow.operators.calendar import dim_date, time_spine
 from hrflow.operators.hierarchy import (
     attrition_by_manager,
     manager_chain,
@@ -18,12 +18,20 @@ from hrflow.operators.hierarchy import (
     span_of_control,
     span_stats,
 )
-from hrflow.operators.snapshot import daily_totals, exact, explode_days, last_day, snapshot_on
+from hrflow.operators.snapshot import (
+    active_intervals,
+    daily_totals,
+    exact,
+    explode_days,
+    last_day,
+    last_termination,
+    snapshot_on,
+)
 from hrflow.plans import core
 from hrflow.plans.people_metrics import attrition_annualised, mobility_rate, workforce_on
 from workload.checks import check, key, key_if
 from workload.registry import query
-from workload.views import AS_OF, table
+from workload.views import AS_OF, START, table
 
 
 @query(
@@ -174,7 +182,7 @@ def _department_scd(t, spark, sf):
 @query(
     "as_of_join",
     check(
-        """select e.event_id, e.employee_key, e.event_type, e.effective_date, s.employee_profile_key as then_employee_profile_key,
+        """select e.event_id, e.worker_id, e.event_type, e.effective_date, s.employee_profile_key as then_employee_profile_key,
                   s.department as then_department, s.manager_employee_key as then_manager_employee_key
            from events_fact e join scd s on s.employee_key = e.employee_key and s.valid_from_date <= e.effective_date
                 and (s.valid_to_date is null or s.valid_to_date > e.effective_date)"""
@@ -182,11 +190,11 @@ def _department_scd(t, spark, sf):
 )
 def _as_of_join(t, spark, sf):
     """Every HR event with the profile that was valid on its date."""
-    events = t["fact_employment_event"].select("event_id", "employee_key", "event_type", "effective_date")
+    events = t["fact_employment_event"].select("event_id", "worker_id", "event_type", "effective_date")
     return history.as_of_join(
         events,
         t["dim_employee_profile_scd"],
-        "employee_key",
+        "worker_id",
         "effective_date",
         ["employee_profile_key", "department", "manager_employee_key"],
         prefix="then_",
@@ -254,36 +262,36 @@ def _intervals(t, spark, sf):
     )
 
 
-_SNAPSHOT_MONTH = """
-    select cast(date_trunc('month', snapshot_date) as date) as snapshot_month, employee_key, department, job_level,
-           worker_type, cast(max(episode_number) as integer) as episode_number, count(*) as days, sum(fte) as fte_days,
-           min(snapshot_date) as first_day, max(snapshot_date) as last_day,
-           min(employee_profile_key) as least_profile, max(employee_profile_key) as greatest_profile,
-           max(employment_episode_key) as episode
-    from snapshot group by all"""
-
-
-@query("headcount_snapshot", check(_SNAPSHOT_MONTH))
+@query(
+    "headcount_snapshot",
+    check(
+        """select snapshot_date, department, job_level, worker_type, count(*) as headcount, sum(fte) as fte,
+                  cast(sum(episode_number) as bigint) as episode_numbers,
+                  cast(sum(cast('0x' || left(employee_profile_key, 8) as bigint)) as bigint) as profile_checksum,
+                  cast(sum(cast('0x' || left(employment_episode_key, 8) as bigint)) as bigint) as episode_checksum,
+                  cast(sum(cast('0x' || left(manager_employee_key, 8) as bigint)) as bigint) as manager_checksum,
+                  max(hire_date) as last_hire
+           from snapshot group by 1, 2, 3, 4"""
+    ),
+)
 def _snapshot(t, spark, sf):
-    """The whole daily head count fact, listed per employee, profile slice and month."""
-    daily = explode_days(t["active_intervals"].drop("episode_number")).join(
-        t["dim_employment_episode"].select("employment_episode_key", "episode_number"), "employment_episode_key"
+    """The whole daily head count fact, per day and profile slice, with sums over its keys."""
+    number = lambda c: F.conv(F.left(c, F.lit(8)), 16, 10).cast("bigint")
+    keys = {
+        "profile_checksum": "employee_profile_key",
+        "episode_checksum": "employment_episode_key",
+        "manager_checksum": "manager_employee_key",
+    }
+    intervals = active_intervals(
+        t["dim_employee_profile_scd"], t["dim_employment_episode"], START, last_termination(t["stg_workers"], AS_OF)
     )
-    return daily.groupBy(
-        period_start(F.col("snapshot_date"), "month").alias("snapshot_month"),
-        "employee_key",
-        "department",
-        "job_level",
-        "worker_type",
-    ).agg(
-        F.max("episode_number").alias("episode_number"),
-        F.count(F.lit(1)).alias("days"),
-        F.sum("fte").alias("fte_days"),
-        F.min("snapshot_date").alias("first_day"),
-        F.max("snapshot_date").alias("last_day"),
-        F.min("employee_profile_key").alias("least_profile"),
-        F.max("employee_profile_key").alias("greatest_profile"),
-        F.max("employment_episode_key").alias("episode"),
+    daily = explode_days(intervals.withColumns({name: number(F.col(c)) for name, c in keys.items()}))
+    return daily.groupBy("snapshot_date", "department", "job_level", "worker_type").agg(
+        F.count(F.lit(1)).alias("headcount"),
+        F.sum("fte").alias("fte"),
+        F.sum("episode_number").alias("episode_numbers"),
+        *[F.sum(name).alias(name) for name in keys],
+        F.max("hire_date").alias("last_hire"),
     )
 
 

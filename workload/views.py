@@ -126,15 +126,17 @@ VIEWS = {
     "offers": f"""
         select l.l_orderkey as offer_id, l.l_orderkey as application_id, o.o_custkey as candidate_id,
                l.part as requisition_id, l.first_ship as extended_at,
-               case when l.flag <> 'R' then l.last_ship end as responded_at,
-               case when l.flag = 'A' then 'accepted' when l.flag = 'R' then 'pending'
-                    when l.line = 'O' then 'declined' else 'expired' end as status,
+               case when l.a > 0 or l.n > 0 then l.last_ship end as responded_at,
+               case when l.a > 0 then 'accepted' when l.n = 0 then 'pending'
+                    when l.o > 0 then 'declined' else 'expired' end as status,
                l.price as base_salary_amount, 'CAD' as base_salary_currency,
-               case when l.flag = 'A'
+               case when l.a > 0
                     then 'P' || cast(cast(floor(o.o_custkey / 2) as bigint) as string) end as accepted_person_external_id,
                {_lineage("l.last_ship")}
         from (select l_orderkey, min(l_partkey) as part, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship,
-                     min(l_returnflag) as flag, max(l_linestatus) as line, max(l_extendedprice) as price
+                     sum(case when l_returnflag = 'A' then 1 else 0 end) as a,
+                     sum(case when l_returnflag = 'N' then 1 else 0 end) as n,
+                     sum(case when l_linestatus = 'O' then 1 else 0 end) as o, max(l_extendedprice) as price
               from {{lineitem}} group by l_orderkey) l
         join {{orders}} o on o.o_orderkey = l.l_orderkey""",
     "application_stage_events": f"""
@@ -155,9 +157,11 @@ def staging_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The views as staging relations, defined when asked for."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    base = Tables({b: lambda b=b: table(spark, sf_dir, b) for b in BASE_TABLES})
+
     def build(sql: str):
         used = [b for b in BASE_TABLES if "{" + b + "}" in sql]
-        return lambda: spark.sql(sql, **{b: table(spark, sf_dir, b) for b in used})
+        return lambda: spark.sql(sql, **{b: base[b] for b in used})
 
     t = Tables({name: build(sql) for name, sql in VIEWS.items()})
     t.builders["profile_versions"] = lambda: latest_version(t["all_profile_versions"])
