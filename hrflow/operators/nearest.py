@@ -33,11 +33,13 @@ def nearest_by_date(
     )
     points = stops.unionByName(probes, allowMissingColumns=True)
     whole = Window.partitionBy(key)
-    # On equal days the stop comes first and is the closest day before, at distance zero.
-    by_day = whole.orderBy(F.col("_day").asc_nulls_last(), "_asked")
     dated = F.when(F.col("_day").isNotNull(), F.col("_stop"))
-    before = F.last(dated, ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(dated, ignorenulls=True).over(by_day.rowsBetween(0, Window.unboundedFollowing))
+    # On equal days the stop comes first and is found at distance zero. The closest later day is read in
+    # descending order: a frame that ends at the last row would be evaluated anew for every row.
+    so_far = (Window.unboundedPreceding, 0)
+    upwards = whole.orderBy(F.col("_day").asc_nulls_last(), "_asked").rowsBetween(*so_far)
+    downwards = whole.orderBy(F.col("_day").desc_nulls_last(), "_asked").rowsBetween(*so_far)
+    before, after = (F.last(dated, ignorenulls=True).over(w) for w in (upwards, downwards))
     found = points.withColumns(
         {
             "_before": before,

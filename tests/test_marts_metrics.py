@@ -153,3 +153,20 @@ def test_report_inventory():
     assert {f"q{i:02}" for i in range(1, 25)} <= set(REPORTS)
     assert len(EXTRACTS) == 7 and STAGES[0] == "applied" and STAGES[-1] == "hired"
     assert "work_email" not in EXTRACTS["dim_employee"]
+
+
+def test_contracts_cover_the_declared_checks(spark):
+    from hrflow.plans.contracts import BASE_CONTRACTS, CORE_CONTRACTS, RAW_CONTRACTS, STAGING_CONTRACTS, contract_report
+
+    total: dict[str, int] = {}
+    for group in (RAW_CONTRACTS, BASE_CONTRACTS, STAGING_CONTRACTS, CORE_CONTRACTS):
+        for c in group.values():
+            for kind, n in c.size().items():
+                total[kind] = total.get(kind, 0) + n
+    assert total == {"not_null": 114, "unique": 37, "accepted_values": 9, "relationships": 10}
+
+    w = workers(spark, [("W1", "P1", "2024-01-01", None), ("W1", "P1", "2024-01-01", None)])
+    persons = core.dim_person(w.selectExpr("'P2' person_external_id", "first_name", "last_name", "'' personal_email", "'' worker_ids_json", *core.LINEAGE).limit(1))
+    report = contract_report({"dim_employee": core.dim_employee(w), "dim_person": persons}, CORE_CONTRACTS, ["dim_employee"])
+    bad = {(r.check_name, r.column_name): r.failures for r in report.collect() if r.status == "fail"}
+    assert bad == {("unique", "employee_key"): 1, ("unique", "worker_id"): 1, ("relationships", "person_key"): 2}

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from hrflow.operators.dedupe import latest_record
 from hrflow.operators.storage import cut_lineage, shared_folder
 from hrflow.plans import core
+from hrflow.plans.reports import q11
 from hrflow.sources import landing
 from hrflow.sources.documents import unfurl
 from hrflow.sources.flatten import base_model
 from hrflow.streaming.events import dedupe_events, land_events, read_events, reconcile_events
 from workload.checks import check, key
 from workload.registry import query
-from workload.views import table
+from workload.views import AS_OF, table
 
 RUN_1 = dt.datetime(2001, 12, 30, 6)
 RUN_2 = dt.datetime(2001, 12, 31, 6)
@@ -277,6 +278,34 @@ def _watermark(t, spark, sf):
 )
 def _audit(t, spark, sf):
     """Raw versions behind every worker of the dimension."""
+    return q11(_with_raw(t), AS_OF).select(
+        "dim_worker_id",
+        "dim_run_id",
+        "_ingested_at_utc",
+        "raw_run_id",
+        "_source_updated_at",
+        F.get_json_object("raw_payload", "$.current_department").alias("department"),
+    )
+
+
+@query(
+    "q11",
+    check(
+        """select w.worker_id as dim_worker_id, 'run-2' as dim_run_id, max(r.moment) as last_load, count(*) as versions
+           from workers w, (values (timestamp '2001-12-30 06:00:00', 'run-1'),
+                                   (timestamp '2001-12-31 06:00:00', 'run-2')) r(moment, run)
+           where r.run = 'run-2' or w.hire_date <= date '1996-12-31' group by 1"""
+    ),
+)
+def _q11(t, spark, sf):
+    """Landed versions and last load per worker."""
+    return q11(_with_raw(t), AS_OF).groupBy("dim_worker_id", "dim_run_id").agg(
+        F.max("_ingested_at_utc").alias("last_load"), F.count(F.lit(1)).alias("versions")
+    )
+
+
+def _with_raw(t):
+    """The tables plus a raw table in which early hires were landed twice."""
     docs = t["stg_workers"].select(
         "worker_id",
         "person_external_id",
@@ -289,14 +318,7 @@ def _audit(t, spark, sf):
         landing.stamp(docs, "hris_workday", "workers", "run-2", "worker_id", RUN_2)
     )
     dims = t["dim_employee"].withColumn("ingested_run_id", F.lit("run-2"))
-    return landing.audit_trace(dims, raw).select(
-        "dim_worker_id",
-        "dim_run_id",
-        "_ingested_at_utc",
-        "raw_run_id",
-        "_source_updated_at",
-        F.get_json_object("raw_payload", "$.current_department").alias("department"),
-    )
+    return {"dim_employee": dims, "raw_workers": raw}
 
 
 def _twice(spark, sf) -> str:
