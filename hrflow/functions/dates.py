@@ -31,3 +31,16 @@ def trailing(col: Column | str, anchor: Column, amount: int, unit: str = "day")
         "month": lambda: F.add_months(anchor, -amount),
     }[unit]()
     return c.between(start, anchor)
+
+
+def business_days(start: Column | str, end: Column | str) -> Column:
+    """Weekdays after ``start`` up to and including ``end``; negative when ``end`` comes first.
+
+    Closed form over whole weeks since a Monday, so no calendar has to be joined.
+    """
+
+    def weekdays_until(d: Column | str) -> Column:
+        n = F.datediff(F.to_date(d), F.lit("1970-01-05").cast("date"))
+        return F.floor(n / 7) * 5 + F.least(F.pmod(n, F.lit(7)) + 1, F.lit(5))
+
+    return (weekdays_until(end) - weekdays_until(start)).cast("int")

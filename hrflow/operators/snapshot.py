@@ -92,6 +92,11 @@ def with_month(daily: DataFrame) -> DataFrame:
     return daily.withColumn("snapshot_month", F.date_format("snapshot_date", "yyyy-MM"))
 
 
+def stored_day(daily: DataFrame, day: dt.date) -> DataFrame:
+    """One day of a stored daily fact; the month condition lets the scan skip all other partitions."""
+    return daily.where((F.col("snapshot_month") == day.strftime("%Y-%m")) & (F.col("snapshot_date") == F.lit(day)))
+
+
 def exact(x: Column) -> Column:
     """Fractions as decimals: running sums of plus and minus then cancel exactly."""
     return x.cast("decimal(28,10)")

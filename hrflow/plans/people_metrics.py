@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.functions import safe_ratio
+from hrflow.functions import business_days, safe_ratio
 
 # Worker types that count as employees, event types that count as internal moves,
 # offer outcomes decided by the candidate.
@@ -108,35 +108,26 @@ def time_to_hire(
     applications: DataFrame,
     offers: DataFrame,
     bridge: DataFrame,
-    dates: DataFrame,
-    by: DataFrame,
-    slice_col: str = "department",
+    requisitions: DataFrame,
+    by: str = "department",
 ) -> DataFrame:
     """Median business days between application and acceptance, for applications that led to a hire.
 
-    A running count of weekdays over the calendar turns business days into one subtraction. The calendar
-    has one row per day, so its size is known. ``by`` maps requisition_id to the slice column.
+    ``by`` is a column of the requisitions.
     """
-    worked = dates.select(
-        F.col("date_day"),
-        F.sum(F.col("is_weekday").cast("int")).over(Window.orderBy("date_day")).alias("weekdays"),
-    )
-    first, last = worked.toDF("_d1", "weekdays_from"), worked.toDF("_d2", "weekdays_to")
     accepted = (
         offers.where("status = 'accepted'")
         .join(bridge.select("offer_id").distinct(), "offer_id", "left_semi")
-        .select("application_id", F.to_date("responded_at").alias("_d2"))
+        .select("application_id", "responded_at")
     )
     days = (
-        applications.select("application_id", "requisition_id", F.to_date("submitted_at").alias("_d1"))
+        applications.select("application_id", "requisition_id", "submitted_at")
         .join(accepted, "application_id")
-        .join(first, "_d1")
-        .join(last, "_d2")
-        .join(by.select("requisition_id", slice_col), "requisition_id")
-        .withColumn("business_days", F.col("weekdays_to") - F.col("weekdays_from"))
+        .withColumn("business_days", business_days("submitted_at", "responded_at"))
+        .join(requisitions.select("requisition_id", by), "requisition_id")
     )
     # ``percentile`` holds a day -> count map: bounded by distinct durations, combined before the shuffle.
-    return days.groupBy(slice_col).agg(
+    return days.groupBy(by).agg(
         F.count(F.lit(1)).alias("hires"),
         F.percentile("business_days", F.lit(0.5)).alias("median_business_days"),
     )

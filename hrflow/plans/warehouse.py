@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
-from hrflow.operators.calendar import dim_date
+from hrflow.operators.calendar import dim_date, time_spine
 from hrflow.operators.dedupe import latest_version
-from hrflow.operators.snapshot import SNAPSHOT_START, active_intervals, explode_days, last_termination
+from hrflow.operators.hierarchy import manager_chain_intervals
+from hrflow.operators.snapshot import (
+    SNAPSHOT_START,
+    active_intervals,
+    explode_days,
+    last_termination,
+    with_month,
+)
+from hrflow.operators.storage import cut_lineage
 from hrflow.plans import core
 from hrflow.plans.marts import mart_funnel, mart_workforce
 from hrflow.sources.flatten import BASE_MODELS, base_model
@@ -26,8 +34,14 @@ class Tables(dict):
         self[name] = self.builders[name]()
         return self[name]
 
-    def names(self) -> list[str]:
-        return sorted({*self, *self.builders})
+    def pin(self, name: str) -> DataFrame:
+        """Compute a table once and read it from storage from now on. For tables a query uses twice."""
+        self[name] = cut_lineage(self[name], name)
+        return self[name]
+
+
+# Daily facts are stored by month.
+MONTHLY = ("fact_headcount_snapshot_daily", "fact_manager_chain_daily")
 
 
 def staging(raw: Mapping[str, DataFrame]) -> Tables:
@@ -64,6 +78,7 @@ def warehouse(
 
     t.builders = {
         "dim_date": lambda: dim_date(stg["workers"].sparkSession, *bounds),
+        "time_spine": lambda: time_spine(stg["workers"].sparkSession, *bounds),
         "dim_person": lambda: core.dim_person(stg["persons"]),
         "dim_employee": lambda: core.dim_employee(stg["workers"]),
         "dim_employment_episode": lambda: core.employment_episodes(stg["workers"], as_of),
@@ -71,6 +86,9 @@ def warehouse(
         "fact_employment_event": lambda: core.fact_employment_event(stg["employment_events"]),
         "active_intervals": lambda: intervals(core.employment_stints(stg["workers"], as_of)),
         "fact_headcount_snapshot_daily": lambda: explode_days(intervals(t["dim_employment_episode"])),
+        "fact_manager_chain_daily": lambda: explode_days(
+            manager_chain_intervals(t["active_intervals"]).drop("month")
+        ),
         "dim_candidate": lambda: core.dim_candidate(stg["candidates"]),
         "dim_job_requisition": lambda: core.dim_job_requisition(stg["jobs"]),
         "fact_application": lambda: core.fact_application(stg["applications"]),
@@ -85,3 +103,21 @@ def warehouse(
         ),
     }
     return t
+
+
+def publish(t: Tables, folder: str, names: Sequence[str] | None = None) -> Tables:
+    """Write core tables and marts as parquet below ``folder`` and read them from there afterwards.
+
+    Tables are written in dependency order, each from the stored version of those before it. ``folder``
+    must be a new version of the warehouse, not one that ``t`` is being read from.
+    """
+    for name in names or list(t.builders):
+        df, path = t[name], f"{folder}/{name}"
+        if name in MONTHLY:
+            # Rebalancing keeps one month in few files without forcing it into one task.
+            monthly = with_month(df).hint("rebalance", "snapshot_month")
+            monthly.write.mode("overwrite").partitionBy("snapshot_month").parquet(path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+        t[name] = df.sparkSession.read.parquet(path)
+    return t

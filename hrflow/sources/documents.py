@@ -45,3 +45,52 @@ def unfurl(
     )
     child_key = F.concat_ws("|", *[F.col(p).cast("string") for p in id_parts])
     return df.drop(array_col), children.select(child_key.alias(name), "*")
+
+
+# -- open documents: every field is kept, declared or not ------------------------------------------
+
+
+def read_open_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Documents as one column ``doc map<string,variant>``, so fields nobody declared survive.
+
+    Line-delimited files are split like any text. A file that is one JSON array (``multiline``) is a
+    single variant value, for which Spark sets a size limit; larger extracts have to be line-delimited.
+    """
+    if not multiline:
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        return lines.select(F.from_json("value", "map<string,variant>").alias("doc"))
+    whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
+    return whole.select(F.explode(F.variant_get("v", "$", "array<map<string,variant>>")).alias("doc"))
+
+
+def field_text(name: str, doc: str = "doc") -> Column:
+    """Scalar field of an open document as text; null when missing or JSON null."""
+    return F.try_variant_get(F.col(doc)[name], "$", "string")
+
+
+def unfurl_open(
+    df: DataFrame,
+    array_field: str,
+    parent_keys: Sequence[str],
+    child_id: tuple[str, Sequence[str]],
+    updated_at: Column | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`unfurl` for open documents. Children get the parent's keys unless they carry their own.
+
+    ``updated_at`` becomes ``source_updated_at`` of the children; by default they inherit the parent's.
+    """
+    name, id_parts = child_id
+    parents = df.select(F.map_filter("doc", lambda k, _: k != array_field).alias("doc"))
+    items = F.try_variant_get(F.col("doc")[array_field], "$", "array<map<string,variant>>")
+    exploded = df.select(F.col("doc").alias("_parent"), F.explode(items).alias("_item"))
+    inherited = F.map_filter(
+        "_parent", lambda k, _: k.isin(list(parent_keys)) & ~F.map_contains_key(F.col("_item"), k)
+    )
+    own = F.map_filter("_item", lambda k, _: ~k.isin([name, "source_updated_at"]))
+    merged = exploded.select("_parent", F.map_concat(inherited, own).alias("doc"))
+    key = F.concat_ws("|", *[field_text(p) for p in id_parts])
+    stamp = field_text("source_updated_at", "_parent") if updated_at is None else updated_at
+    added = F.create_map(
+        F.lit(name), key.cast("variant"), F.lit("source_updated_at"), stamp.cast("string").cast("variant")
+    )
+    return parents, merged.select(F.map_concat("doc", added).alias("doc"))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hrflow.functions import iso_timestamp
+from hrflow.sources.documents import field_text
 
 METADATA_COLUMNS = (
     "_ingested_at_utc",
@@ -74,6 +75,38 @@ def stamp(
     )
 
 
+def stamp_open(
+    docs: DataFrame,
+    system: str,
+    obj: str,
+    run_id: str,
+    id_field: str,
+    ingested_at: dt.datetime,
+    mode: str = "full",
+    updated_field: str | None = "source_updated_at",
+) -> DataFrame:
+    """:func:`stamp` for open documents (``doc map<string,variant>``): the payload keeps every field."""
+    keys = F.array_sort(F.map_keys("doc"))
+    ordered = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.col("doc")[k])))
+    text = F.to_json(ordered, {"ignoreNullFields": "false"})
+    flat = docs.select(
+        field_text(id_field).alias("_id"),
+        (field_text(updated_field) if updated_field else F.lit(None).cast("string")).alias("_updated"),
+        text.alias("raw_payload"),
+    )
+    return flat.select(
+        F.lit(ingested_at).cast("timestamp").alias("_ingested_at_utc"),
+        F.lit(system).alias("_source_system"),
+        F.lit(obj).alias("_source_object"),
+        F.lit(run_id).alias("_run_id"),
+        F.lit(mode).alias("_extract_mode"),
+        F.coalesce("_id", F.lit("")).alias("_source_record_id"),
+        iso_timestamp("_updated").alias("_source_updated_at"),
+        F.sha2("raw_payload", 256).alias("_payload_hash"),
+        "raw_payload",
+    )
+
+
 def land(raw: DataFrame, path: str, truncate_first: bool = False) -> None:
     """Append stamped rows to a raw table's folder, or replace its content."""
     raw.write.mode("overwrite" if truncate_first else "append").parquet(path)

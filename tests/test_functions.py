@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hrflow.functions import (
     band,
+    business_days,
     day_diff,
     hours_between,
     iso_timestamp,
@@ -70,3 +71,12 @@ def test_trailing_bounds(spark):
 def test_round_away_matches_scaling(spark, xs):
     got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(round_away(F.col("x"), 3)).collect()]
     assert got == [math.floor(x * 1000 + 0.5) / 1000 for x in xs]
+
+
+def test_business_days_counts_weekdays(spark):
+    days = [dt.date(2023, 12, 20) + dt.timedelta(i) for i in range(25)]
+    pairs = [(a, b) for a in days for b in days]
+    weekdays = lambda a, b: sum((a + dt.timedelta(i)).weekday() < 5 for i in range(1, (b - a).days + 1))
+    want = [weekdays(a, b) if a <= b else -weekdays(b, a) for a, b in pairs]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a date, b date")
+    assert [r[0] for r in df.orderBy("i").select(business_days("a", "b")).collect()] == want

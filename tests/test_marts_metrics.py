@@ -17,7 +17,6 @@ from hrflow.plans.people_metrics import (
     with_is_employee,
 )
 from hrflow.plans.reports import EXTRACTS, REPORTS, STAGES
-from hrflow.operators.calendar import dim_date
 from tests.helpers import d, events, plan, rows, ts, versions, workers
 
 END = dt.date(2024, 12, 31)
@@ -143,7 +142,7 @@ def test_time_to_hire_counts_business_days(spark):
     apps = spark.createDataFrame([("a", "r", ts("2024-01-05 10:00:00"))], "application_id string, requisition_id string, submitted_at timestamp")
     offers = spark.createDataFrame([("o", "a", "accepted", ts("2024-01-08 10:00:00"))], "offer_id string, application_id string, status string, responded_at timestamp")
     reqs = spark.createDataFrame([("r", "Eng")], "requisition_id string, department string")
-    out = time_to_hire(apps, offers, offers.select("offer_id"), dim_date(spark), reqs).collect()
+    out = time_to_hire(apps, offers, offers.select("offer_id"), reqs).collect()
     assert [tuple(r) for r in out] == [("Eng", 1, 1.0)]
     acc = offers.unionByName(spark.createDataFrame([("p", "b", "rescinded", ts("2024-01-09 00:00:00"))], offers.schema))
     assert [tuple(r)[1:] for r in candidate_offer_acceptance(acc).collect()] == [(1, 1, 1.0)]

@@ -141,7 +141,6 @@ def _time_to_hire(t, spark, sf):
         t["fact_application"],
         t["fact_offer"],
         t["bridge_candidate_employee"],
-        t["dim_date"],
         t["dim_job_requisition"],
     )
 

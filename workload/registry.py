@@ -12,12 +12,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Registers a function of (tables, spark, sf_dir); ``sql`` is the equivalent for the checking database."""
+def query(name: str, sql: str | None = None, pin: tuple[str, ...] = ()):
+    """Registers a function of (tables, spark, sf_dir); ``sql`` is the equivalent for the checking database.
+
+    ``pin`` names tables that the query reads more than once; they are computed once and stored.
+    """
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(all_tables(spark, sf_dir), spark, sf_dir)
+            t = all_tables(spark, sf_dir)
+            for table in pin:
+                t.pin(table)
+            return fn(t, spark, sf_dir)
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
