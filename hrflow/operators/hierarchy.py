@@ -1,15 +1,14 @@
 """Manager chains, spans and organisation size.
 
-The chain is a bounded iteration of joins. It runs over managers only: an employee's chain is the link to
-the direct manager followed by that manager's chain, so the many individual contributors take part in one
-final join instead of one join per level.
+The chain is a bounded iteration of joins that doubles the covered depth per round. It runs over managers
+only: an employee's chain is the link to the direct manager followed by that manager's chain, so the many
+individual contributors take part in one final join instead of one join per round.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ def _extend(chain: DataFrame, links: DataFrame, on: Sequence[str], timed: bool,
         *[F.col(f"c.{name}") for name in on],
         F.col("c.employee_key"),
         F.col("h.ancestor_employee_key"),
-        depth.alias("depth"),
+        depth.cast("int").alias("depth"),
         *bounds,
     )
 
@@ -57,13 +56,15 @@ def _closure(edges: DataFrame, on: Sequence[str], timed: bool, max_depth: int) -
     managers = edges.select(*on, F.col("ancestor_employee_key").alias("employee_key")).distinct()
     links = cut_lineage(edges.join(managers, [*on, "employee_key"], "left_semi"), "links")
 
-    levels = [links]
-    # The cap is part of the contract: with a cycle in the edges no level is ever empty.
-    for depth in range(2, max_depth):
-        if levels[-1].isEmpty():
+    # Path doubling: chains of length m, extended by the chains of their last member, give all chains up
+    # to 2m. The cap is part of the contract: with a cycle in the edges there is always a next round.
+    above, length, longest = links, 1, max_depth - 1
+    while length < longest:
+        step = _extend(above.where(F.col("depth") == length), above, on, timed, F.col("c.depth") + F.col("h.depth"))
+        step = cut_lineage(step.where(F.col("depth") <= longest), "chains")
+        if step.isEmpty():
             break
-        levels.append(cut_lineage(_extend(levels[-1], links, on, timed, F.lit(depth)), "level"))
-    above = reduce(DataFrame.unionByName, levels)
+        above, length = above.unionByName(step), 2 * length
     indirect = _extend(edges, above, on, timed, F.col("h.depth") + 1)
     return edges.unionByName(indirect)
 
