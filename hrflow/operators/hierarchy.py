@@ -60,10 +60,11 @@ def _closure(edges: DataFrame, on: Sequence[str], timed: bool, max_depth: int) -
     # to 2m. The cap is part of the contract: with a cycle in the edges there is always a next round.
     above, length, longest = links, 1, max_depth - 1
     while length < longest:
-        step = _extend(above.where(F.col("depth") == length), above, on, timed, F.col("c.depth") + F.col("h.depth"))
-        step = cut_lineage(step.where(F.col("depth") <= longest), "chains")
-        if step.isEmpty():
+        full = above.where(F.col("depth") == length)
+        if full.isEmpty():
             break
+        step = _extend(full, above, on, timed, F.col("c.depth") + F.col("h.depth"))
+        step = cut_lineage(step.where(F.col("depth") <= longest), "chains")
         above, length = above.unionByName(step), 2 * length
     indirect = _extend(edges, above, on, timed, F.col("h.depth") + 1)
     return edges.unionByName(indirect)
