@@ -161,3 +161,47 @@ def overlaps(df: DataFrame, key: str, row_id: str, start: str, end: str) -> Data
             F.col("y.end").alias("b_to"),
         )
     )
+
+
+def overlapping_rows(df: DataFrame, key: str, row_id: str, start: str, end: str) -> DataFrame:
+    """Intervals that meet another interval of their key which starts no later, with one such interval each.
+
+    The linear form of :func:`overlaps`: at most one result per row, however many rows of a key intersect.
+    The witness is the row that reaches furthest among those of the same start day, else among earlier ones;
+    equal reach goes to the smaller id.
+    """
+    rows = df.select(
+        F.col(key),
+        F.col(row_id).alias("_id"),
+        F.col(start).alias("_from"),
+        F.coalesce(F.col(end), F.lit(FAR_FUTURE)).alias("_to"),
+        F.col(end).alias("_end"),
+    ).where(F.col(key).isNotNull() & F.col("_from").isNotNull() & (F.col("_from") <= F.col("_to")))
+    # Negated days order like "later end first", so the least struct is the furthest row with the least id.
+    reach = F.struct(
+        (-F.unix_date("_to")).alias("order"),
+        F.col("_id").alias("id"),
+        F.col("_to").alias("to"),
+        F.col("_end").alias("end"),
+        F.col("_from").alias("start"),
+    )
+    leaders = rows.groupBy(key, "_from").agg(F.min(reach).alias("_leader"))
+    before = Window.partitionBy(key).orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
+    leaders = leaders.withColumn("_prior", F.min("_leader").over(before))
+    beside = (F.col("_leader.id") != F.col("_id")) & (F.col("_to") > F.col("_from"))
+    under = F.col("_prior.to") > F.col("_from")
+    witness = F.when(beside, F.col("_leader")).when(under, F.col("_prior"))
+    return (
+        rows.join(leaders, [key, "_from"])
+        .withColumn("_w", witness)
+        .where("_w is not null")
+        .select(
+            key,
+            F.col("_id").alias("id"),
+            F.col("_from").alias("start"),
+            F.col("_end").alias("end"),
+            F.col("_w.id").alias("other_id"),
+            F.col("_w.start").alias("other_start"),
+            F.col("_w.end").alias("other_end"),
+        )
+    )

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hrflow.operators.history import FAR_FUTURE, overlaps
+from hrflow.operators.history import FAR_FUTURE, overlapping_rows, overlaps
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -61,14 +61,21 @@ def check_freshness(
 
 
 def check_scd2_overlap(scd: DataFrame) -> DataFrame:
-    """Profile versions of one employee that are valid on a common day."""
+    """Pairs of profile versions of one employee that are valid on a common day.
+
+    Pairs per employee are bounded by the calendar as long as ``check_scd2_grain`` passes.
+    """
     found = overlaps(scd, "employee_key", "employee_profile_key", "valid_from_date", "valid_to_date")
     return found.withColumnsRenamed({"id_a": "profile_a", "id_b": "profile_b"})
 
 
 def check_episode_overlap(episodes: DataFrame) -> DataFrame:
-    """Employment episodes of one person that share a day."""
-    return overlaps(episodes, "person_key", "employment_episode_key", "hire_date", "termination_date")
+    """Employment episodes that share a day with an episode of the same person that began no later.
+
+    One row per episode with one such other episode: stints without a person share a key, and their pairs
+    could not be listed.
+    """
+    return overlapping_rows(episodes, "person_key", "employment_episode_key", "hire_date", "termination_date")
 
 
 def check_scd2_grain(scd: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hrflow.operators.calendar import dim_date, split_by_period, time_spine
 from hrflow.operators.dedupe import latest_version
-from hrflow.operators.history import as_of, as_of_join, bitemporal_as_of, overlaps, scd2
+from hrflow.operators.history import as_of, as_of_join, bitemporal_as_of, overlapping_rows, overlaps, scd2
 from hrflow.operators.nearest import nearest_by_date
 from hrflow.operators.windows import next_in_group, number_in_group
 from hrflow.plans import core
@@ -109,6 +109,14 @@ def test_overlaps_against_brute_force(spark):
         if x[0] == y[0] and x[1] < y[1] and x[2] < (y[3] or far) and y[2] < (x[3] or far)
     )
     assert sorted((r.id_a, r.id_b) for r in overlaps(df, "k", "i", "a", "b").collect()) == want
+    linear = overlapping_rows(df, "k", "i", "a", "b").collect()
+    assert {(min(r.id, r.other_id), max(r.id, r.other_id)) for r in linear} <= set(want)
+    starts = {i: a for _, i, a, _ in data}
+    # Every pair is seen from its later row; on equal starts from at least one of the two.
+    later = {max((starts[i], i), (starts[j], j))[1] for i, j in want if starts[i] != starts[j]}
+    found = {r.id for r in linear}
+    assert later <= found and len(linear) == len(found)
+    assert all(i in found or j in found for i, j in want)
 
 
 def test_nearest_against_brute_force(spark):

@@ -17,7 +17,7 @@ from hrflow.plans.people_metrics import (
     with_is_employee,
 )
 from hrflow.plans.reports import EXTRACTS, REPORTS, STAGES
-from tests.helpers import d, events, plan, rows, ts, versions, workers
+from tests.helpers import d, events, plan, ts, versions, workers
 
 END = dt.date(2024, 12, 31)
 

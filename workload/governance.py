@@ -105,12 +105,13 @@ def _scd_overlap(t, spark, sf):
 @query(
     "dq_episode_overlap",
     check(
-        """select x.person_key, x.employment_episode_key as id_a, y.employment_episode_key as id_b,
-                  x.hire_date as a_from, x.termination_date as a_to, y.hire_date as b_from, y.termination_date as b_to
-           from episodes x join episodes y on y.person_key = x.person_key
-                and x.employment_episode_key < y.employment_episode_key
-           where x.hire_date < coalesce(y.termination_date, date '9999-12-31')
-             and y.hire_date < coalesce(x.termination_date, date '9999-12-31')"""
+        """with e as (select person_key, employment_episode_key as id, hire_date as a, termination_date as b,
+                          coalesce(termination_date, date '9999-12-31') as z from episodes)
+           select x.person_key, x.id, x.a as start, x.b as "end", y.id as other_id, y.a as other_start, y.b as other_end
+           from e x join e y on y.person_key = x.person_key and y.id <> x.id
+                and ((y.a < x.a and y.z > x.a)
+                     or (y.a = x.a and x.z > x.a and (y.z > x.z or (y.z = x.z and y.id < x.id))))
+           qualify row_number() over (partition by x.id order by y.a = x.a desc, y.z desc, y.id) = 1"""
     ),
 )
 def _episode_overlap(t, spark, sf):

@@ -13,7 +13,7 @@ from hrflow.plans import core
 from hrflow.plans.reports import q11
 from hrflow.sources import landing
 from hrflow.sources.documents import unfurl
-from hrflow.sources.flatten import base_model
+from hrflow.sources.flatten import base_model, json_field, json_field_cast, json_field_try_cast
 from hrflow.streaming.events import dedupe_events, land_events, read_events, reconcile_events
 from workload.checks import check, key
 from workload.registry import query
@@ -159,8 +159,6 @@ def _flatten(t, spark, sf):
 )
 def _flatten_fields(t, spark, sf):
     """Field accessors on the JSON column of the events table."""
-    from hrflow.sources.flatten import json_field, json_field_cast, json_field_try_cast
-
     not_a_day = F.when(F.length(json_field("props", "k")) < 4, F.concat(F.lit("x"), json_field("props", "k")))
     return table(spark, sf, "events").select(
         "event_id",
