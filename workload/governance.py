@@ -135,7 +135,7 @@ def _scd_grain(t, spark, sf):
 @query(
     "dq_snapshot_unique",
     check(
-        """select snapshot_date, employee_key, 2 as n from snapshot
+        """select snapshot_date, employee_key, cast(2 as bigint) as n from snapshot
            where worker_type = 'part_time' and job_level = 'P'"""
     ),
 )
