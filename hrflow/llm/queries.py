@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
+from hrflow.llm.simhash_dedup import simhash_components
+from hrflow.llm.topk_search import top_k
+from hrflow.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -42,3 +46,60 @@ window best as (partition by norm order by points desc, doc_id)
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts by block naming."""
     return exact_duplicates(_table(spark, sf_dir, "documents")).drop("k1", "k2")
+
+
+@query()
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of texts whose fingerprints differ in at most 3 bits."""
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0),
+r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 5
+""")
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every row whose id is divisible by 50."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+#: (verdict, host, path) of the production rules.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query(r"""
+with p as (
+  select page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+         regexp_extract(coalesce(url, ''), '(?s)://[^/?#]*([^?#]*)', 1) as path
+  from pages),
+r(v, h, q) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                      ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+m as (
+  select page_id, max_by(struct_pack(rule := h || q, verdict := v), length(h || q)) as hit
+  from p join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, q)
+  group by page_id)
+select p.page_id, host, path, hit.rule as rule, coalesce(hit.verdict, 'allow') as verdict
+from p left join m using (page_id)
+""")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules for hosts and paths; a page that no rule fits is on no list and so allowed."""
+    return url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
