@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
+from hrflow.llm.language_id import languages, train_languages
 from hrflow.llm.simhash_dedup import simhash_components
 from hrflow.llm.topk_search import top_k
+from hrflow.llm.toxicity import toxicity_scores, train_toxicity
 from hrflow.llm.url_filter import url_verdicts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +105,34 @@ from p left join m using (page_id)
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules for hosts and paths; a page that no rule fits is on no list and so allowed."""
     return url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def _crc(modulus: int):
+    """The remainder of the id's CRC-32 as decimal text; null ids count as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+#: A document is predicted toxic from this score on.
+TOXIC_FROM = 0.3
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Noisy-or of sentence scores, learned from the labels outside the held-out quarter."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = train_toxicity(docs.filter(_crc(4) != 2), labels)
+    return toxicity_scores(docs, model).select(
+        "doc_id",
+        (_crc(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+        "worst_sentence",
+    )
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language with most letters in the Viterbi path of each text, learned from two thirds of the documents."""
+    docs = _table(spark, sf_dir, "documents")
+    model = train_languages(docs.filter(_crc(3) != 1))
+    return languages(docs, model).select("doc_id", (_crc(3) == 1).alias("held_out"), "lang_pred", "score")
