@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
 from hrflow.llm.language_id import languages, train_languages
+from hrflow.llm.repeats import remove_repeats
 from hrflow.llm.simhash_dedup import simhash_components
 from hrflow.llm.topk_search import top_k
 from hrflow.llm.toxicity import toxicity_scores, train_toxicity
@@ -136,3 +137,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train_languages(docs.filter(_crc(3) != 1))
     return languages(docs, model).select("doc_id", (_crc(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each text that no repeated string of 400 bytes covers."""
+    return remove_repeats(_table(spark, sf_dir, "documents"))
