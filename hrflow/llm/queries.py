@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
 from hrflow.llm.language_id import languages, train_languages
 from hrflow.llm.repeats import remove_repeats
+from hrflow.llm.sentencepiece_codec import encoding_digest
 from hrflow.llm.simhash_dedup import simhash_components
 from hrflow.llm.topk_search import top_k
 from hrflow.llm.toxicity import toxicity_scores, train_toxicity
@@ -143,3 +145,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of each text that no repeated string of 400 bytes covers."""
     return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text under the 32k model, as count and checksum, and whether decoding gives back the text."""
+    return encoding_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
