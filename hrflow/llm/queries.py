@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
 from hrflow.llm.language_id import languages, train_languages
+from hrflow.llm.packing import pack
 from hrflow.llm.repeats import remove_repeats
 from hrflow.llm.sentencepiece_codec import encoding_digest
 from hrflow.llm.simhash_dedup import simhash_components
@@ -151,3 +152,9 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text under the 32k model, as count and checksum, and whether decoding gives back the text."""
     return encoding_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
