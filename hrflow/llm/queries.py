@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
 from hrflow.llm.language_id import languages, train_languages
+from hrflow.llm.ngram_lm import bigram_scores, train_bigrams
 from hrflow.llm.packing import pack
 from hrflow.llm.repeats import remove_repeats
 from hrflow.llm.sentencepiece_codec import encoding_digest
@@ -158,3 +159,21 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text under a bigram model of the texts outside the held-out seventh."""
+    docs = _table(spark, sf_dir, "documents")
+    model = train_bigrams(docs.filter(_crc(7) != 2))
+    scores = bigram_scores(docs, model)
+    return scores.select(
+        "doc_id",
+        (_crc(7) == 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
