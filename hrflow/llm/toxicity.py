@@ -1,13 +1,12 @@
 """Toxicity by multiple-instance learning: sentences are scored, documents are labelled."""
 
-from __future__ import annotations
-
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -193,8 +192,6 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3, te
 
 
 def _batch_score(model: ToxicityModel):
-    import pandas as pd
-
     def run(texts: pd.Series) -> pd.Series:
         known: dict[str, float] = {}
         return pd.Series([model.score(t, known)[0] for t in texts], dtype="float64")
