@@ -32,6 +32,29 @@ def with_row_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def beside_row_key(docs: DataFrame, keyed: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """``docs`` with all its columns and its row keys under new names, ``keyed`` with its k1, k2 under those names, and the names."""
+    a, b = fresh(docs, "row_k1", "row_k2")
+    both = docs.withColumns(
+        {
+            a: F.coalesce(F.col(doc_id).cast("long"), F.lit(0)),
+            b: F.xxhash64(F.col(doc_id).cast("long"), text_or_empty(text)),
+        }
+    )
+    return both, keyed.withColumnsRenamed({"k1": a, "k2": b}), [a, b]
+
+
 class Scratch:
     """Tables in the shared folder that cut the lineage. Files survive the loss of executors.
 

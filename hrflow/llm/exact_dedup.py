@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import SPACES, Scratch, with_row_key
+from hrflow.llm.common import SPACES, Scratch, beside_row_key, fresh, with_row_key
 
 
 def normalised(text: Column) -> Column:
@@ -123,16 +123,7 @@ def _kept(narrow: DataFrame, whole: DataFrame) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text one stays."""
     kept = exact_duplicates(docs, doc_id, text).filter("kept").select("k1", "k2").distinct()
-    keys = {
-        "_llm_k1": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)),
-        "_llm_k2": F.xxhash64(F.col(doc_id).cast("long"), F.coalesce(F.col(text), F.lit(""))),
-    }
-    kept = kept.select(F.col("k1").alias("_llm_k1"), F.col("k2").alias("_llm_k2"))
-    repeat = F.row_number().over(Window.partitionBy("_llm_k1", "_llm_k2").orderBy("_llm_k2"))
-    return (
-        docs.withColumns(keys)
-        .join(kept, ["_llm_k1", "_llm_k2"], "left_semi")
-        .withColumn("_llm_repeat", repeat)
-        .filter("_llm_repeat = 1")
-        .drop("_llm_k1", "_llm_k2", "_llm_repeat")
-    )
+    rows, kept, key = beside_row_key(docs, kept, doc_id, text)
+    (number,) = fresh(rows, "number")
+    repeat = F.row_number().over(Window.partitionBy(*key).orderBy(key[1]))
+    return rows.join(kept, key, "left_semi").withColumn(number, repeat).filter(F.col(number) == 1).select(*docs.columns)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import BASE, BASE_INVERSE, Scratch, mixed, powers, with_row_key
+from hrflow.llm.common import BASE, BASE_INVERSE, Scratch, beside_row_key, fresh, mixed, powers, with_row_key
 
 #: Windows that are examined at once; their positions fit into the low bits of a packed minimum.
 CHUNK = 1 << 20
@@ -326,11 +326,7 @@ def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 64, large: int = 8192
 ) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``; all rows and columns stay. A character that is cut in part goes in whole."""
-    keys = {
-        "_llm_k1": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)),
-        "_llm_k2": F.xxhash64(F.col(doc_id).cast("long"), F.coalesce(F.col(text), F.lit(""))),
-    }
-    changed = _removed(with_row_key(docs, doc_id, text), length, gram, large)
-    changed = changed.select(F.col("k1").alias("_llm_k1"), F.col("k2").alias("_llm_k2"), F.col("kept_text").alias("_llm_text"))
-    joined = docs.withColumns(keys).join(changed, ["_llm_k1", "_llm_k2"], "left")
-    return joined.withColumn(text, F.coalesce("_llm_text", text)).select(*docs.columns)
+    (new,) = fresh(docs, "kept_text")
+    changed = _removed(with_row_key(docs, doc_id, text), length, gram, large).select("k1", "k2", F.col("kept_text").alias(new))
+    rows, changed, key = beside_row_key(docs, changed, doc_id, text)
+    return rows.join(changed, key, "left").withColumn(text, F.coalesce(new, text)).select(*docs.columns)
