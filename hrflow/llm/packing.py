@@ -2,68 +2,91 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from hrflow.llm.common import Scratch, process_cache, text_chunks, with_row_key
 
 
 class WordIds:
-    """Ids of whole texts by a tokenizer whose pre-tokens are encoded one by one, with the ids of pre-tokens remembered.
+    """Ids of whole texts by a tokenizer that encodes pre-tokens one by one; the ids of words are remembered.
 
-    The file's own normaliser and pre-tokeniser rules are applied by ``tokenizers`` to every word that is new. Texts are
-    cut into words the way the file does it; ``exact`` tells whether this class can read the file.
+    White space ends a pre-token, so a text's ids are those of its words, side by side. Words are read with ``re`` where
+    that agrees with the file's own pattern, and with ``regex`` elsewhere; ``exact`` tells whether the file is of the kind
+    that this class knows. Other files, and texts with special tokens, go to ``tokenizers`` whole.
     """
 
     #: Fixed value: how the supported file splits normalised text into pre-tokens.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    #: The same for characters below U+0250 without odd spaces and numbers.
+    PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
+    #: Characters that need the full pattern, composition or care when lower-cased.
+    NOT_PLAIN = re.compile("[^\t-\r -~\u00a1-\u024f]|[\u00b2\u00b3\u00b9\u00bc-\u00be\u0130]")
 
-    def __init__(self, spec: str):
-        import json
-
-        import regex
-        from tokenizers import Tokenizer
-
+    def __init__(self, spec: str, most: int = 500_000):
         self.tokenizer = Tokenizer.from_str(spec)
         told = json.loads(spec)
         steps = [x.get("type") for x in (told["normalizer"] or {}).get("normalizers", [])]
         cuts = (told["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.exact = steps == ["NFC", "Replace", "Lowercase"] and cuts[0].get("pattern", {}).get("Regex") == self.PATTERN
-        self.special = [t["content"] for t in told.get("added_tokens", [])]
-        self.words = regex.compile(self.PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        # The lower case of the last two depends on what stands around them.
+        self.whole = [*(t["content"] for t in told.get("added_tokens", [])), "\u0130", "\u03a3"]
+        self.cut, self.cut_plain = regex.compile(self.PATTERN).findall, re.compile(self.PLAIN_PATTERN).findall
+        self.most, self.tokens, self.words = most, {}, {}
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.exact:
             return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        if len(self.known) > 500_000:
-            self.known.clear()
-        known, split = self.known, []
+        if len(self.words) > self.most:
+            self.words.clear()
+        split: list[tuple[dict, list[str]] | None] = []
         for t in texts:
-            # Special tokens in a text are cut out before normalisation, and dotted capital I lower-cases by context.
-            odd = "İ" in t or "Σ" in t or any(s in t for s in self.special)
-            split.append(None if odd else self.words(unicodedata.normalize("NFC", t).lower()))
-        fresh = list({w for words in split if words for w in words if w not in known})
-        for at in range(0, len(fresh), 10_000):
-            part = fresh[at : at + 10_000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        get = known.__getitem__
-        whole = self.tokenizer.encode
+            if any(x in t for x in self.whole):
+                split.append(None)
+            elif self.NOT_PLAIN.search(t):
+                split.append((self.tokens, self.cut(unicodedata.normalize("NFC", t).lower())))
+            else:
+                split.append((self.words, t.lower().split()))
+        known, seen = self.words, set()
+        for x in split:
+            if x and x[0] is known:
+                seen.update(x[1])
+        fresh = {w: (w,) if w.isalpha() else self.cut_plain(w) for w in seen.difference(known)}
+        self._learn([x[1] for x in split if x and x[0] is self.tokens] + list(fresh.values()))
+        tokens = self.tokens
+        known.update((w, tokens[x[0]] if len(x) == 1 else b"".join([tokens[t] for t in x])) for w, x in fresh.items())
         return [
-            np.array(whole(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(get, words))
-            for t, words in zip(texts, split, strict=True)
+            b"".join(map(x[0].__getitem__, x[1])) if x else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            for t, x in zip(texts, split, strict=True)
         ]
 
+    def _learn(self, lists: list[list[str]], portion: int = 2000) -> None:
+        """Encodes the pre-tokens that are new, many in one call: white space keeps them apart."""
+        if len(self.tokens) > self.most:
+            self.tokens.clear()
+        new = list(set(chain.from_iterable(lists)).difference(self.tokens))
+        for at in range(0, len(new), portion):
+            part = new[at : at + portion]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
+            ends = np.searchsorted(owner, np.arange(len(part)), side="right") * 4
+            packed = ids.tobytes()
+            self.tokens.update(zip(part, map(packed.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist())), strict=True))
+
 
 def _pieces(spec: str, size: int, end_id: int):
     """Cuts each document's ids, its end included, into pieces of ``size``; one row a piece."""
