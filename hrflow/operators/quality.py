@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from hrflow.operators.history import FAR_FUTURE, overlapping_rows, overlaps
 
 
-def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows with a null in any of the columns."""
-    return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
+def check_not_null(df: DataFrame, columns: Sequence[str], empty: bool = False) -> DataFrame:
+    """Rows with a null in any of the columns; with ``empty`` also those with a blank text, which a missing id lands as."""
+    missing = [F.col(c).isNull() | ((F.trim(F.col(c).cast("string")) == "") if empty else F.lit(False)) for c in columns]
+    return df.where(reduce(lambda a, b: a | b, missing))
 
 
 def check_unique(df: DataFrame, columns: Sequence[str | Column]) -> DataFrame:

@@ -32,6 +32,7 @@ class Contract:
     accepted: Mapping[str, Sequence[str]] = field(default_factory=dict)
     refs: Mapping[str, tuple[str, str]] = field(default_factory=dict)
     unique_together: tuple[str, ...] = ()
+    blank_is_missing: bool = False
 
     def size(self) -> dict[str, int]:
         """Number of declared checks by kind."""
@@ -44,8 +45,8 @@ class Contract:
         }
 
 
-# Who must be what. Raw tables only need a record id.
-RAW_CONTRACTS = {obj: Contract("standard", required="_source_record_id") for obj in BASE_MODELS}
+# Who must be what. Raw tables only need a record id, which is empty where the source had none.
+RAW_CONTRACTS = {obj: Contract("standard", required="_source_record_id", blank_is_missing=True) for obj in BASE_MODELS}
 
 BASE_CONTRACTS = {
     "workers": Contract("standard", "worker_id", "person_external_id hire_date ingested_run_id"),
@@ -173,7 +174,9 @@ def contract_report(
                 )
                 for i, c in enumerate(required)
             ]
-            nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{i}") for i, c in enumerate(required)])
+            blank = F.lit(contract.blank_is_missing)
+            missing = [F.col(c).isNull() | (blank & (F.trim(F.col(c).cast("string")) == "")) for c in required]
+            nulls = df.agg(*[F.count_if(m).alias(f"_{i}") for i, m in enumerate(missing)])
             parts.append(_labelled(nulls.select(F.inline(F.array(*counts))), model, contract))
 
         def add(check: str, column: str, failing: DataFrame, n: Column) -> None:

@@ -2,65 +2,56 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def read_documents(
-    spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = True
-) -> DataFrame:
-    """JSON documents with a declared schema.
-
-    A file that is one JSON array (``multiline``) is read by a single task. Extracts of any size should
-    be many files, or line-delimited JSON with ``multiline=False``, which Spark splits.
-    """
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+#: Every field of a document is kept, declared or not.
+DOCUMENT = "map<string,variant>"
 
 
-def unfurl(
-    df: DataFrame,
-    array_col: str,
-    parent_keys: Sequence[str],
-    child_id: tuple[str, Sequence[str]],
-    extra: Mapping[str, Column] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Split a nested document into (parent without the array, child rows).
+def read_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """One row per document: ``doc map<string,variant>``, or its text as ``reject`` where it is not one JSON object.
 
-    Each array element becomes a child row with the parent's keys and an id joined by ``|`` from the
-    columns that ``child_id`` names. Parents with a missing or empty array have no children. ``extra``
-    adds constant or parent columns to the children.
+    Line-delimited files are split like any text, and a bad line is a reject of its own. A file that is one JSON array
+    (``multiline``) is read by a single task, element by element, so its size is not limited; a first pass collects the
+    names of the fields. An array that is cut off, malformed or followed by other text, an empty file, and an element that is
+    not an object raise an error: nothing is lost in silence.
     """
-    name, id_parts = child_id
-    inherited = {f"_x_{k}": v for k, v in (extra or {}).items()}
-    rows = df.withColumns(inherited) if inherited else df
-    rows = rows.select(*parent_keys, *inherited, F.explode(array_col).alias("_item"))
-    own = [f.name for f in df.schema[array_col].dataType.elementType.fields if f.name not in parent_keys]
-    children = rows.select(
-        *parent_keys,
-        *[F.col(f"_item.{f}").alias(f) for f in own],
-        *[F.col(k).alias(k[len("_x_") :]) for k in inherited],
+    if multiline:
+        return _array_elements(spark, path)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    # In brackets, text that follows the first value is an error and not passed over.
+    found = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<{DOCUMENT}>")
+    docs = lines.select("value", F.when(F.size(found) == 1, F.element_at(found, 1)).alias("doc"))
+    return docs.select("doc", F.when(F.col("doc").isNull(), F.col("value")).alias("reject"))
+
+
+def _array_elements(spark: SparkSession, path: str) -> DataFrame:
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), place.alias("_place"))
+    ends = lines.where(F.trim("value") != "").groupBy("_file").agg(
+        F.left(F.ltrim(F.min_by("value", "_place")), F.lit(1)).alias("first"),
+        F.right(F.rtrim(F.max_by("value", "_place")), F.lit(1)).alias("last"),
     )
-    child_key = F.concat_ws("|", *[F.col(p).cast("string") for p in id_parts])
-    return df.drop(array_col), children.select(child_key.alias(name), "*")
+    wrong = ends.where("first <> '[' or last <> ']'").select("_file").take(1)
+    if wrong or not ends.take(1):
+        raise ValueError(f"not one JSON array per file: {wrong[0][0] if wrong else path}")
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+    names = reader.option("primitivesAsString", True).json(path).columns
+    if not names:
+        return spark.createDataFrame([], f"doc {DOCUMENT}, reject string")
+    values = reader.schema(", ".join(f"`{n.replace('`', '``')}` variant" for n in names)).json(path)
+    fields = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.col(f"`{n.replace('`', '``')}`") for n in names]))
+    return values.select(F.map_filter(fields, lambda _, v: v.isNotNull()).alias("doc"), F.lit(None).cast("string").alias("reject"))
 
 
-# -- open documents: every field is kept, declared or not ------------------------------------------
-
-
-def read_open_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Documents as one column ``doc map<string,variant>``, so fields nobody declared survive.
-
-    Line-delimited files are split like any text. A file that is one JSON array (``multiline``) is a
-    single variant value, for which Spark sets a size limit; larger extracts have to be line-delimited.
-    """
-    if not multiline:
-        lines = spark.read.text(path).where(F.trim("value") != "")
-        return lines.select(F.from_json("value", "map<string,variant>").alias("doc"))
-    whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
-    return whole.select(F.explode(F.variant_get("v", "$", "array<map<string,variant>>")).alias("doc"))
+def as_documents(df: DataFrame) -> DataFrame:
+    """Rows of typed columns as documents, nulls included."""
+    text = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    return df.select(F.from_json(text, DOCUMENT).alias("doc"))
 
 
 def field_text(name: str, doc: str = "doc") -> Column:
@@ -68,20 +59,27 @@ def field_text(name: str, doc: str = "doc") -> Column:
     return F.try_variant_get(F.col(doc)[name], "$", "string")
 
 
-def unfurl_open(
+def without_field(df: DataFrame, name: str) -> DataFrame:
+    """Documents without one of their fields; other columns stay."""
+    return df.withColumn("doc", F.map_filter("doc", lambda k, _: k != name))
+
+
+def unfurl(
     df: DataFrame,
     array_field: str,
     parent_keys: Sequence[str],
     child_id: tuple[str, Sequence[str]],
     updated_at: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """:func:`unfurl` for open documents. Children get the parent's keys unless they carry their own.
+    """Split nested documents into (parents without the array, children).
 
+    Each array element becomes a document with the parent's keys, unless it carries its own, and an id joined by ``|``
+    from the fields that ``child_id`` names. Parents with a missing or empty array have no children.
     ``updated_at`` becomes ``source_updated_at`` of the children; by default they inherit the parent's.
     """
     name, id_parts = child_id
-    parents = df.select(F.map_filter("doc", lambda k, _: k != array_field).alias("doc"))
-    items = F.try_variant_get(F.col("doc")[array_field], "$", "array<map<string,variant>>")
+    parents = without_field(df, array_field).select("doc")
+    items = F.try_variant_get(F.col("doc")[array_field], "$", f"array<{DOCUMENT}>")
     exploded = df.select(F.col("doc").alias("_parent"), F.explode(items).alias("_item"))
     inherited = F.map_filter(
         "_parent", lambda k, _: k.isin(list(parent_keys)) & ~F.map_contains_key(F.col("_item"), k)

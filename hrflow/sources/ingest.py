@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hrflow.sources.documents import read_open_documents, unfurl_open
+from hrflow.sources.documents import read_documents, unfurl, without_field
 from hrflow.sources.flatten import BASE_MODELS
-from hrflow.sources.landing import land, new_run_id, raw_table, stamp_open
+from hrflow.sources.landing import land, new_run_id, raw_table, rejects, stamp
 
 
 @dataclass(frozen=True)
@@ -69,18 +69,23 @@ SYSTEMS: dict[str, tuple[Extract, ...]] = {
 }
 
 
+#: Folder, beside the raw tables, of what could not be read as a document.
+REJECTS = "rejects"
+
+
 def extract_objects(
-    spark: SparkSession, system: str, folder: str, extracted_at: dt.datetime, multiline: bool = True
+    spark: SparkSession, system: str, folder: str, extracted_at: dt.datetime, multiline: bool = False
 ) -> dict[str, DataFrame]:
-    """Source object -> open documents, child arrays split off."""
+    """Source object -> documents, child arrays split off. Only parents have a column ``reject``."""
     out: dict[str, DataFrame] = {}
     for e in SYSTEMS[system]:
-        docs = read_open_documents(spark, f"{folder}/{e.file}", multiline)
+        docs = read_documents(spark, f"{folder}/{e.file}", multiline)
         if e.nested is not None:
             n = e.nested
             own = F.lit(extracted_at.strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")) if n.own_time else None
             id_name = BASE_MODELS[n.obj][0]
-            docs, out[n.obj] = unfurl_open(docs, n.array, n.parent_keys, (id_name, n.id_parts), own)
+            out[n.obj] = unfurl(docs, n.array, n.parent_keys, (id_name, n.id_parts), own)[1]
+            docs = without_field(docs, n.array)
         out[e.obj] = docs
     return out
 
@@ -93,21 +98,34 @@ def ingest(
     extracted_at: dt.datetime,
     run_id: str | None = None,
     truncate_first: bool = False,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> str:
-    """Land every object of a source system under ``raw_folder`` and return the run id."""
+    """Land every object of a source system under ``raw_folder`` and return the run id.
+
+    What is not a document goes to the table ``rejects`` with its text (``rejected`` counts them by run and object);
+    with ``multiline`` a bad file stops the run with an error.
+    """
     run = run_id or new_run_id()
     for obj, docs in extract_objects(spark, system, folder, extracted_at, multiline).items():
-        raw = stamp_open(docs, system, obj, run, BASE_MODELS[obj][0], extracted_at)
+        raw = stamp(docs, system, obj, run, BASE_MODELS[obj][0], extracted_at)
         land(raw, f"{raw_folder}/{raw_table(system, obj, schema='')}", truncate_first)
+        if "reject" in docs.columns:
+            land(rejects(docs, system, obj, run, extracted_at), f"{raw_folder}/{REJECTS}")
     return run
 
 
-def raw_tables(spark: SparkSession, raw_folder: str) -> Mapping[str, DataFrame]:
+def rejected(spark: SparkSession, raw_folder: str) -> DataFrame:
+    """Number of rejects of each run and source object."""
+    return spark.read.parquet(f"{raw_folder}/{REJECTS}").groupBy("_run_id", "_source_system", "_source_object").count()
+
+
+def raw_tables(
+    spark: SparkSession, raw_folder: str, systems: Sequence[str] = tuple(SYSTEMS)
+) -> Mapping[str, DataFrame]:
     """Source object -> landed rows."""
     return {
         obj: spark.read.parquet(f"{raw_folder}/{raw_table(system, obj, schema='')}")
-        for system, extracts in SYSTEMS.items()
-        for e in extracts
+        for system in systems
+        for e in SYSTEMS[system]
         for obj in (e.obj, *([e.nested.obj] if e.nested else []))
     }

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hrflow.functions import iso_timestamp
-from hrflow.sources.documents import field_text
+from hrflow.sources.documents import as_documents, field_text
 
 METADATA_COLUMNS = (
     "_ingested_at_utc",
@@ -35,47 +35,7 @@ def raw_table(system: str, obj: str, schema: str = "raw") -> str:
     return f"{schema}.{name}" if schema else name
 
 
-def payload_json(df: DataFrame, sort_keys: bool = False) -> Column:
-    """The whole record as JSON text, nulls included."""
-    names = sorted(df.columns) if sort_keys else df.columns
-    return F.to_json(F.struct(*[F.col(c) for c in names]), {"ignoreNullFields": "false"})
-
-
 def stamp(
-    df: DataFrame,
-    system: str,
-    obj: str,
-    run_id: str,
-    id_col: str,
-    ingested_at: dt.datetime,
-    mode: str = "full",
-    updated_col: str | None = "source_updated_at",
-) -> DataFrame:
-    """Raw rows for source records: eight metadata columns plus the payload.
-
-    A missing id becomes the empty string. The hash covers the record with sorted keys, so it does not
-    depend on the column order.
-    """
-    updated = (
-        iso_timestamp(updated_col)
-        if updated_col is not None and updated_col in df.columns
-        else F.lit(None).cast("timestamp")
-    )
-    record_id = F.col(id_col).cast("string") if id_col in df.columns else F.lit(None).cast("string")
-    return df.select(
-        F.lit(ingested_at).cast("timestamp").alias("_ingested_at_utc"),
-        F.lit(system).alias("_source_system"),
-        F.lit(obj).alias("_source_object"),
-        F.lit(run_id).alias("_run_id"),
-        F.lit(mode).alias("_extract_mode"),
-        F.coalesce(record_id, F.lit("")).alias("_source_record_id"),
-        updated.alias("_source_updated_at"),
-        F.sha2(payload_json(df, sort_keys=True), 256).alias("_payload_hash"),
-        payload_json(df).alias("raw_payload"),
-    )
-
-
-def stamp_open(
     docs: DataFrame,
     system: str,
     obj: str,
@@ -85,11 +45,18 @@ def stamp_open(
     mode: str = "full",
     updated_field: str | None = "source_updated_at",
 ) -> DataFrame:
-    """:func:`stamp` for open documents (``doc map<string,variant>``): the payload keeps every field."""
+    """Raw rows for documents (``doc map<string,variant>``): eight metadata columns plus the payload with every field.
+
+    Rows of typed columns are taken as documents first. Rejects are left out; :func:`rejects` has them. A missing id becomes
+    the empty string, which ``check_not_null(..., empty=True)`` finds. Payload and hash have the keys in order, so
+    they do not depend on the column order.
+    """
+    if "doc" not in docs.columns:
+        docs = as_documents(docs)
     keys = F.array_sort(F.map_keys("doc"))
     ordered = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.col("doc")[k])))
     text = F.to_json(ordered, {"ignoreNullFields": "false"})
-    flat = docs.select(
+    flat = docs.where(F.col("doc").isNotNull()).select(
         field_text(id_field).alias("_id"),
         (field_text(updated_field) if updated_field else F.lit(None).cast("string")).alias("_updated"),
         text.alias("raw_payload"),
@@ -107,6 +74,17 @@ def stamp_open(
     )
 
 
+def rejects(docs: DataFrame, system: str, obj: str, run_id: str, ingested_at: dt.datetime) -> DataFrame:
+    """The text of what was not a document, with the metadata of the run."""
+    return docs.where(F.col("reject").isNotNull()).select(
+        F.lit(ingested_at).cast("timestamp").alias("_ingested_at_utc"),
+        F.lit(system).alias("_source_system"),
+        F.lit(obj).alias("_source_object"),
+        F.lit(run_id).alias("_run_id"),
+        F.col("reject").alias("raw_text"),
+    )
+
+
 def land(raw: DataFrame, path: str, truncate_first: bool = False) -> None:
     """Append stamped rows to a raw table's folder, or replace its content."""
     raw.write.mode("overwrite" if truncate_first else "append").parquet(path)
@@ -121,7 +99,7 @@ def land_table(raw: DataFrame, table: str, truncate_first: bool = False) -> None
 
 
 def only_changed(raw_new: DataFrame, raw_existing: DataFrame) -> DataFrame:
-    """New rows whose payload differs from the newest landed version of the record.
+    """New rows whose payload differs from the newest landed version of the record, each payload once.
 
     The newest hash per record is an aggregate with map-side combining, not a window over all versions.
     """
@@ -130,12 +108,18 @@ def only_changed(raw_new: DataFrame, raw_existing: DataFrame) -> DataFrame:
             "_payload_hash"
         )
     )
-    return raw_new.join(newest, ["_source_record_id", "_payload_hash"], "left_anti")
+    changed = raw_new.join(newest, ["_source_record_id", "_payload_hash"], "left_anti")
+    return changed.dropDuplicates(["_source_record_id", "_payload_hash"])
 
 
 def since_watermark(df: DataFrame, updated_col: str, mark: dt.datetime | None) -> DataFrame:
-    """Records updated after the stored mark; everything when there is none yet."""
-    return df if mark is None else df.where(F.col(updated_col) > F.lit(mark).cast(df.schema[updated_col].dataType))
+    """Records updated after the stored mark; everything when there is none yet.
+
+    Records without an update time are read each time: whether they have changed is for ``only_changed`` to tell.
+    """
+    if mark is None:
+        return df
+    return df.where(F.col(updated_col).isNull() | (F.col(updated_col) > F.lit(mark).cast(df.schema[updated_col].dataType)))
 
 
 def next_watermark(df: DataFrame, updated_col: str) -> DataFrame:

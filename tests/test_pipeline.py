@@ -69,7 +69,7 @@ def write(folder, lines=False):
 def built(spark, tmp_path_factory):
     tmp = tmp_path_factory.mktemp("pipeline")
     raw = str(tmp / "raw")
-    runs = [ingest(spark, s, write(tmp / s), raw, AT, truncate_first=True) for s in ("hris_workday", "ats_ashby")]
+    runs = [ingest(spark, s, write(tmp / s), raw, AT, truncate_first=True, multiline=True) for s in ("hris_workday", "ats_ashby")]
     tables = raw_tables(spark, raw)
     t = warehouse(staging(tables), AS_OF, start=dt.date(2024, 1, 1))
     return publish(t, str(tmp / "warehouse")), tables, runs, tmp
@@ -94,7 +94,7 @@ def test_line_delimited_extract_lands_the_same_payloads(spark, built):
     _, raw, _, tmp = built
     target = str(tmp / "raw_lines")
     for system in ("hris_workday", "ats_ashby"):
-        ingest(spark, system, write(tmp / f"lines_{system}", lines=True), target, AT, multiline=False)
+        ingest(spark, system, write(tmp / f"lines_{system}", lines=True), target, AT)
     for obj, df in raw_tables(spark, target).items():
         pick = lambda x: sorted((r._source_record_id, r._payload_hash) for r in x.collect())
         assert pick(df) == pick(raw[obj]), obj
@@ -104,7 +104,7 @@ def test_second_extract_adds_rows_and_keeps_the_base(spark, built):
     _, raw, _, tmp = built
     folder, target = write(tmp / "again"), str(tmp / "raw_twice")
     for day in (0, 1):
-        ingest(spark, "hris_workday", folder, target, AT + dt.timedelta(days=day), run_id=f"run-{day}")
+        ingest(spark, "hris_workday", folder, target, AT + dt.timedelta(days=day), run_id=f"run-{day}", multiline=True)
     twice = spark.read.parquet(f"{target}/hris_workday__workers")
     assert twice.count() == 6
     from hrflow.sources.flatten import base_model

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hrflow.operators.dedupe import latest, latest_record
 from hrflow.operators.storage import cut_lineage, materialize, shared_folder
 from hrflow.sources import landing
-from hrflow.sources.documents import read_documents, unfurl
+from hrflow.sources.documents import field_text, read_documents, unfurl
 from hrflow.sources.flatten import BASE_MODELS, SOURCE_OBJECTS, base_model
 from tests.helpers import plan, rows
 
@@ -73,32 +73,56 @@ def test_landing_twice_gives_the_same_base(spark):
     assert {r[0] for r in twice.select("_run_id").collect()} == {"r2"}
 
 
-def test_read_and_unfurl(spark, tmp_path):
+@pytest.mark.parametrize("lines", [True, False])
+def test_read_and_unfurl(spark, tmp_path, lines):
+    docs = [
+        {"worker_id": "W1", "profile_history": [{"effective_date": "2024-01-01", "fte": 1.0}, {"effective_date": "2024-02-01", "fte": 0.5}]},
+        {"worker_id": "W2", "profile_history": []},
+        {"worker_id": "W3", "profile_history": None},
+        {"worker_id": "W4"},
+    ]
     path = tmp_path / "workers.json"
-    path.write_text(
-        json.dumps(
-            [
-                {"worker_id": "W1", "profile_history": [{"effective_date": "2024-01-01", "fte": 1.0}, {"effective_date": "2024-02-01", "fte": 0.5}]},
-                {"worker_id": "W2", "profile_history": []},
-                {"worker_id": "W3", "profile_history": None},
-                {"worker_id": "W4"},
-            ]
-        )
-    )
-    schema = "worker_id string, profile_history array<struct<effective_date: string, fte: double>>"
-    df = read_documents(spark, str(path), schema)
-    parents, children = unfurl(
-        df, "profile_history", ["worker_id"], ("profile_version_id", ["worker_id", "effective_date"]),
-        {"source_updated_at": F.lit("now")},
-    )
-    assert parents.columns == ["worker_id"] and parents.count() == 4
-    assert children.columns == ["profile_version_id", "worker_id", "effective_date", "fte", "source_updated_at"]
-    assert rows(children) == [
-        ("W1|2024-01-01", "W1", "2024-01-01", 1.0, "now"),
-        ("W1|2024-02-01", "W1", "2024-02-01", 0.5, "now"),
+    path.write_text("\n".join(map(json.dumps, docs)) if lines else json.dumps(docs))
+    df = read_documents(spark, str(path), multiline=not lines)
+    assert df.where("reject is not null").count() == 0
+    parents, children = unfurl(df, "profile_history", ["worker_id"], ("profile_version_id", ["worker_id", "effective_date"]), F.lit("now"))
+    assert [sorted(json.loads(r[0])) for r in parents.select(F.to_json("doc")).collect()] == [["worker_id"]] * 4
+    names = ("profile_version_id", "worker_id", "effective_date", "fte", "source_updated_at")
+    assert rows(children.select(*[field_text(n).alias(n) for n in names])) == [
+        ("W1|2024-01-01", "W1", "2024-01-01", "1", "now"),
+        ("W1|2024-02-01", "W1", "2024-02-01", "0.5", "now"),
     ]
 
 
+def test_bad_lines_are_kept_as_rejects(spark, tmp_path):
+    bad = ['{"a": 1', '{"a": 1} xyz', '{"a": 1}{"b": 2}', '{"a": 1}, {"b": 2}', "[1]", "null", '"x"', "[", "{"]
+    (tmp_path / "x.json").write_text("\n".join(['{"id": "1"}', *bad, "  ", '{"id": "2"}', "{}"]))
+    docs = read_documents(spark, str(tmp_path / "x.json"))
+    assert sorted(r[0] for r in docs.where("reject is not null").select("reject").collect()) == sorted(bad)
+    assert stamp(docs).count() == 3
+    kept = landing.rejects(docs, "s", "o", "r1", T1)
+    assert kept.count() == len(bad) and kept.columns[-1] == "raw_text"
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}, {"b":', '[{"a": 1}', '[{"a": 1}] junk', '[{"a": 1}, 5]', '{"a": 1}', "", "null"])
+def test_bad_arrays_stop_the_run(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text or " ")
+    with pytest.raises(Exception, match="(?i)malformed|not one JSON array|failed_read_file|infer"):
+        read_documents(spark, str(tmp_path / "x.json"), multiline=True).collect()
+
+
+def test_large_array_lands_in_full(spark, tmp_path):
+    n, filler = 160_000, "x" * 900
+    (tmp_path / "x.json").write_text("[" + ",\n".join(f'{{"id": "{i}", "v": "{filler}"}}' for i in range(n)) + "]")
+    assert (tmp_path / "x.json").stat().st_size > 145_000_000
+    assert stamp(read_documents(spark, str(tmp_path / "x.json"), multiline=True)).count() == n
+    (tmp_path / "y.json").write_text('[{"id": "1", "a b.c": {"x": [1, null]}}, {"id": null, "z`": 2.50}, {}]')
+    texts = [r[0] for r in read_documents(spark, str(tmp_path / "y.json"), multiline=True).select(F.to_json("doc", {"ignoreNullFields": "false"})).collect()]
+    assert texts == ['{"id":"1","a b.c":{"x":[1,null]}}', '{"id":null,"z`":2.5}', "{}"] or [json.loads(x) for x in texts] == [
+        {"id": "1", "a b.c": {"x": [1, None]}}, {"id": None, "z`": 2.5}, {},
+    ]
+
+
 def raw_json(spark, obj, payload):
     return spark.createDataFrame(
         [(T1, "s", obj, "r1", "full", "X1", T1, "h", json.dumps(payload))],
@@ -138,12 +162,13 @@ def test_only_changed_compares_with_the_newest_version(spark):
     assert landing.only_changed(again, landed).count() == 0
     assert landing.only_changed(back, landed).count() == 1
     assert landing.only_changed(stamp(docs(spark, [("z", "1", None)])), landed).count() == 1
+    assert landing.only_changed(stamp(docs(spark, [("z", "1", None)] * 2 + [("z", "2", None)])), landed).count() == 2
 
 
 def test_watermark(spark):
-    df = spark.createDataFrame([(T1,), (T2,)], "u timestamp")
-    assert landing.since_watermark(df, "u", None).count() == 2
-    assert landing.since_watermark(df, "u", T1).count() == 1
+    df = spark.createDataFrame([(T1,), (T2,), (None,)], "u timestamp")
+    assert landing.since_watermark(df, "u", None).count() == 3
+    assert rows(landing.since_watermark(df, "u", T1)) == rows(df.where(F.col("u").isNull() | (F.col("u") == T2)))
     assert landing.next_watermark(df, "u").first()[0] == T2
 
 

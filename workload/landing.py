@@ -8,11 +8,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from hrflow.operators.dedupe import latest_record
-from hrflow.operators.storage import cut_lineage, shared_folder
+from hrflow.operators.quality import check_not_null
+from hrflow.operators.storage import materialize, shared_folder
 from hrflow.plans import core
 from hrflow.plans.reports import q11
 from hrflow.sources import landing
-from hrflow.sources.documents import unfurl
+from hrflow.sources.documents import as_documents, field_text, unfurl
+from hrflow.sources.ingest import REJECTS, ingest, raw_tables
 from hrflow.sources.flatten import base_model, json_field, json_field_cast, json_field_try_cast
 from hrflow.streaming.events import dedupe_events, land_events, read_events, reconcile_events
 from workload.checks import check, key
@@ -183,15 +185,20 @@ def _flatten_fields(t, spark, sf):
 )
 def _unfurl(t, spark, sf):
     """Stage events out of nested application documents; documents without a history have none."""
-    docs = application_documents(spark, sf)
+    docs = as_documents(application_documents(spark, sf))
     _, children = unfurl(
         docs,
         "stage_history",
         ["application_id", "candidate_id", "requisition_id"],
         ("stage_event_id", ["application_id", "transitioned_at", "to_stage"]),
-        {"source_updated_at": F.col("source_updated_at")},
     )
-    return children
+    fields = "stage_event_id application_id candidate_id requisition_id from_stage to_stage transitioned_at source_updated_at"
+    return children.select(*[_field(f) for f in fields.split()])
+
+
+def _field(name: str):
+    text = field_text(name)
+    return (text.cast("long") if name in ("application_id", "candidate_id") else text).alias(name)
 
 
 @query(
@@ -201,8 +208,11 @@ def _unfurl(t, spark, sf):
 )
 def _unfurl_parents(t, spark, sf):
     """The documents without their nested array."""
-    docs = application_documents(spark, sf)
-    return unfurl(docs, "stage_history", ["application_id"], ("stage_event_id", ["application_id"]))[0]
+    docs = as_documents(application_documents(spark, sf))
+    parents = unfurl(docs, "stage_history", ["application_id"], ("stage_event_id", ["application_id"]))[0]
+    return parents.select(
+        *[_field(f) for f in "application_id candidate_id requisition_id o_orderstatus source_updated_at".split()]
+    )
 
 
 @query(
@@ -231,6 +241,151 @@ def _raw_to_fact(t, spark, sf):
     )
 
 
+# -- extracts written as files and taken in --------------------------------------------------------
+
+
+def _write_lines(docs, path: str) -> None:
+    """One document a line, as an extractor leaves them; nulls are written."""
+    docs.select(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})).write.text(path)
+
+
+def _worker_documents(spark, sf):
+    """Customers as worker documents, their orders as profile history."""
+    history = (
+        table(spark, sf, "orders")
+        .groupBy("o_custkey")
+        .agg(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(_day("o_orderdate").alias("effective_date"), F.col("o_orderkey").cast("string").alias("job_title"))
+                )
+            ).alias("profile_history")
+        )
+    )
+    c = table(spark, sf, "customer").join(history, F.col("c_custkey") == F.col("o_custkey"), "left")
+    number = F.col("c_custkey").cast("string")
+    return c.select(
+        F.concat(F.lit("W"), number).alias("worker_id"),
+        F.concat(F.lit("P"), number).alias("person_external_id"),
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("current_department"),
+        F.lit("2001-12-29T00:00:00Z").alias("source_updated_at"),
+        "profile_history",
+    )
+
+
+def _ingested(spark, sf, system: str):
+    """Raw tables of a system whose extract files were written from the driver's tables; also the raw folder."""
+    folder = f"{shared_folder(spark)}/extract-{uuid.uuid4().hex}"
+    workers = _worker_documents(spark, sf)
+    line = F.to_json(F.struct(*workers.columns), {"ignoreNullFields": "false"})
+    # Every 50th worker's line was cut off in transfer.
+    cut = F.substring("worker_id", 2, 20).cast("long") % 50 == 0
+    if system == "hris_workday":
+        workers.select(F.when(cut, F.left(line, F.lit(40))).otherwise(line)).write.text(f"{folder}/workday_workers.json")
+        _write_lines(workers.select("person_external_id", "source_updated_at"), f"{folder}/workday_persons.json")
+        _write_lines(event_documents(spark, sf), f"{folder}/workday_employment_events.json")
+    else:
+        _write_lines(job_documents(spark, sf), f"{folder}/ashby_jobs.json")
+        _write_lines(workers.select(F.col("worker_id").alias("candidate_id")), f"{folder}/ashby_candidates.json")
+        _write_lines(application_documents(spark, sf), f"{folder}/ashby_applications.json")
+        _write_lines(workers.select(F.col("worker_id").alias("offer_id")), f"{folder}/ashby_offers.json")
+    raw = f"{folder}/raw"
+    for run in ("run-0", "run-1"):  # the second run replaces what the first landed, but for its rejects
+        ingest(spark, system, folder, raw, RUN_1, run_id=run, truncate_first=run == "run-1")
+    return raw_tables(spark, raw, (system,)), raw
+
+
+_METADATA = """timestamp '2001-12-30 06:00:00' as _ingested_at_utc, '{}' as _source_system, '{}' as _source_object,
+               'run-1' as _run_id, 'full' as _extract_mode, 64 as hash_length"""
+
+
+def _landed(raw, *fields: str):
+    return raw.select(
+        "_ingested_at_utc",
+        "_source_system",
+        "_source_object",
+        "_run_id",
+        "_extract_mode",
+        F.length("_payload_hash").alias("hash_length"),
+        "_source_record_id",
+        "_source_updated_at",
+        *[F.get_json_object("raw_payload", f"$.{f}").alias(f) for f in fields],
+    )
+
+
+@query(
+    "ingest_workers",
+    f"""select {_METADATA.format("hris_workday", "workers")}, 'W' || c_custkey as _source_record_id,
+               timestamp '2001-12-29' as _source_updated_at, 'P' || c_custkey as person_external_id,
+               nullif(c_mktsegment, 'BUILDING') as current_department, null::varchar as profile_history
+        from customer where c_custkey % 50 <> 0""",
+)
+def _ingest_workers(t, spark, sf):
+    """Raw workers after an ingest of files, without the history that became an object of its own."""
+    raw, _ = _ingested(spark, sf, "hris_workday")
+    return _landed(raw["workers"], "person_external_id", "current_department", "profile_history")
+
+
+@query(
+    "ingest_profile_versions",
+    f"""select {_METADATA.format("hris_workday", "profile_versions")},
+               'W' || o_custkey || '|' || strftime(o_orderdate, '%Y-%m-%d') as _source_record_id,
+               timestamp '2001-12-30 06:00:00' as _source_updated_at, 'W' || o_custkey as worker_id,
+               'P' || o_custkey as person_external_id, o_orderkey::varchar as job_title
+        from orders where o_custkey % 50 <> 0""",
+)
+def _ingest_versions(t, spark, sf):
+    """Raw profile versions, split off the workers' documents."""
+    raw, _ = _ingested(spark, sf, "hris_workday")
+    return _landed(raw["profile_versions"], "worker_id", "person_external_id", "job_title")
+
+
+@query(
+    "ingest_applications",
+    f"""select {_METADATA.format("ats_ashby", "applications")}, o_orderkey::varchar as _source_record_id,
+               o_orderdate as _source_updated_at, o_custkey::varchar as candidate_id, o_orderpriority as requisition_id,
+               null::varchar as stage_history
+        from orders""",
+)
+def _ingest_applications(t, spark, sf):
+    """Raw applications after an ingest of files."""
+    raw, _ = _ingested(spark, sf, "ats_ashby")
+    return _landed(raw["applications"], "candidate_id", "requisition_id", "stage_history")
+
+
+@query(
+    "ingest_rejects",
+    """select run as _run_id, 'workers' as _source_object, '{"worker_id":"W' || c_custkey || '"' as text_start, 40 as text_length
+       from customer, (values ('run-0'), ('run-1')) r(run) where c_custkey % 50 = 0""",
+)
+def _ingest_rejects(t, spark, sf):
+    """Lines that are no documents are kept as text, for each run."""
+    _, folder = _ingested(spark, sf, "hris_workday")
+    return spark.read.parquet(f"{folder}/{REJECTS}").select(
+        "_run_id",
+        "_source_object",
+        F.regexp_extract("raw_text", '^[^,]*', 0).alias("text_start"),
+        F.length("raw_text").alias("text_length"),
+    )
+
+
+@query(
+    "empty_ids",
+    "select o_orderkey::varchar as title from orders where o_orderpriority = '5-LOW' or o_orderstatus = 'P'",
+)
+def _empty_ids(t, spark, sf):
+    """Records without an id, missing or blank, land under the empty text and fail the check for it."""
+    docs = event_documents(spark, sf).withColumn(
+        "event_id",
+        F.when(F.col("event_id").endswith("5-LOW"), F.lit(None))
+        .when(F.col("event_type") == "p", F.lit(""))
+        .otherwise(F.col("event_id")),
+    )
+    raw = landing.stamp(docs, "hris_workday", "employment_events", "run-1", "event_id", RUN_1)
+    failed = check_not_null(raw, ["_source_record_id"], empty=True)
+    return failed.select(F.get_json_object("raw_payload", "$.job_title").alias("title"))
+
+
 @query(
     "hash_dedupe_landing",
     """select 'C' || c_custkey as _source_record_id, c_mktsegment as segment, case when c_acctbal < 0 then 0.0 else c_acctbal end
@@ -256,11 +411,14 @@ def _hash_dedupe(t, spark, sf):
 
 @query(
     "watermark_read",
-    "select o_orderkey, o_orderdate from orders where o_orderdate > timestamp '1999-06-30 00:00:00'",
+    """select o_orderkey, case when o_orderpriority <> '5-LOW' then o_orderdate end as o_orderdate from orders
+       where o_orderpriority = '5-LOW' or o_orderdate > timestamp '1999-06-30 00:00:00'""",
 )
 def _watermark(t, spark, sf):
-    """Orders after the stored mark."""
-    o = table(spark, sf, "orders")
+    """Orders after the stored mark, and those without a time."""
+    o = table(spark, sf, "orders").withColumn(
+        "o_orderdate", F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
+    )
     return landing.since_watermark(o, "o_orderdate", dt.datetime(1999, 6, 30)).select("o_orderkey", "o_orderdate")
 
 
@@ -350,8 +508,15 @@ def _stream_reconcile(t, spark, sf):
     return reconcile_events(table(spark, sf, "events"), landed, ["event_id"])
 
 
-@query("materialized_table", "select o_orderpriority, count(*) as n from orders group by 1")
+@query(
+    "materialized_table",
+    """select o_orderpriority, o_orderstatus, 2 * count(*) as n from orders group by 1, 2""",
+)
 def _materialized(t, spark, sf):
-    """An intermediate result written to the shared folder and read back."""
-    counts = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    return cut_lineage(counts, "counts")
+    """A partitioned table at a path of the shared folder, and rows appended to a catalog table."""
+    counts = table(spark, sf, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    name, path = f"counts_{uuid.uuid4().hex}", f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}"
+    stored = materialize(counts, name, "table", path, partition_by=("o_orderpriority",))
+    landing.land_table(stored, f"{name}_twice")
+    landing.land_table(stored, f"{name}_twice")
+    return spark.table(f"{name}_twice").groupBy("o_orderpriority", "o_orderstatus").agg(F.sum("n").alias("n"))
