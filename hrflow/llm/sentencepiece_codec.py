@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import process_cache, text_or_empty
+from hrflow.llm.common import process_cache, text_chunks, text_or_empty
 
 SPACE = "▁"
 BPE, UNIGRAM = 2, 1
@@ -55,6 +56,17 @@ class Codec:
         self.words: dict[str, bytes] = {}
         # A word is final at its end if no piece reaches from other characters into a following space mark.
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
+        # The pieces read backwards, as nested (next character, id or -1); and whether one id may follow another.
+        self.tree: dict = {}
+        for piece, i in self.ids.items():
+            at = self.tree
+            for char in reversed(piece[1:]):
+                at = at.setdefault(char, [{}, -1])[0]
+            at.setdefault(piece[0], [{}, -1])[1] = i
+        self.pairs: dict[int, bool] = {}
+        self.values = [
+            b"" if i in self.control else bytes([self.of_byte[i]]) if i in self.of_byte else p.encode() for i, p in enumerate(self.pieces)
+        ]
 
     def merge(self, text: str) -> list[str]:
         """Merges of adjacent symbols by rank, for the joint text of two pieces."""
@@ -137,50 +149,73 @@ class Codec:
     def _packed(self, text: str) -> bytes:
         return np.array([i for p in self.stream(text) for i in self._ids_of(p)], "<u4").tobytes()
 
-    def encode_packed(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers.
-
-        Where pieces hold space marks only at their beginning, every word is final at its end. Words recur, so their ids are
-        remembered (and forgotten when they have become many); a long word streams like any text.
-        """
-        if not text:
-            return b""
-        text = self.prefix + text.replace(" ", SPACE)
-        if not self.splits:
+    def _word(self, text: str) -> bytes:
+        """The ids of a short text: the search of ``stream`` with ids in a list, as nothing has to be emitted early."""
+        if not self.bpe or len(text) > 4 * self.longest:
             return self._packed(text)
-        known, out, at = self.words, [], 0
-        parts = text.split(SPACE)
-        # Runs of space marks belong to the word that follows; the last run stands alone.
-        if parts[0]:
-            out.append(self._packed(parts[0]))
-        marks = 0
-        for part in parts[1:]:
-            marks += 1
-            if not part:
+        tree, pairs, get, size = self.tree, self.pairs, self.pairs.get, len(text)
+        # The last piece before each boundary; the number of pieces stands for the beginning.
+        last: list[int] = [len(self.pieces)] + [-1] * size
+        for end in range(1, size + 1):
+            below, start = tree, end
+            while start:
+                start -= 1
+                node = below.get(text[start])
+                if node is None:
+                    if start == end - 1:
+                        return self._packed(text)  # a character that is no piece
+                    break
+                below, piece = node
+                if piece < 0 or (before := last[start]) < 0:
+                    continue
+                fit = get(before << 32 | piece)
+                if fit is None:
+                    if len(pairs) > 1_000_000:
+                        pairs.clear()
+                    left = self.pieces[before] if start else ""
+                    fit = pairs[before << 32 | piece] = self.follows(left, text[start:end])
+                if fit:
+                    last[end] = piece
+                    break
+        out, end = [], len(text)
+        while end:
+            out.append(last[end])
+            end -= len(self.pieces[out[-1]])
+        return np.array(out[::-1], "<u4").tobytes()
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers.
+
+        Where pieces hold space marks only at their beginning, every word is final at its end, and so is what stands on both
+        sides of a line end that is in no piece. Such parts recur, so their ids are remembered (and forgotten when they have
+        become many); a long part streams like any text.
+        """
+        if len(self.words) > 400_000:
+            self.words.clear()
+        known, parts = self.words, []
+        lines = "\n" not in self.endings
+        for t in texts:
+            t = self.prefix + t.replace(" ", SPACE) if t else ""
+            if not self.splits or SPACE * 2 in t:
+                parts.append(self._runs(t) if self.splits else [t])
                 continue
-            word = SPACE * marks + part
-            marks = 0
-            ids = known.get(word)
-            if ids is None:
-                ids = self._packed(word)
-                if len(word) <= 64:
-                    if len(known) > 400_000:
-                        known.clear()
-                    known[word] = ids
-            out.append(ids)
-        if marks:
-            out.append(self._packed(SPACE * marks))
-        return b"".join(out)
+            t = t.replace(SPACE, " " + SPACE)
+            parts.append((t.replace("\n", " \n ") if lines else t).split(" "))
+        seen: set[str] = set().union(*parts)
+        known.update((w, self._word(w)) for w in seen.difference(known))
+        return [b"".join(map(known.__getitem__, x)) for x in parts]
+
+    @staticmethod
+    def _runs(text: str) -> list[str]:
+        """Words with the run of space marks in front of them; a last run stands alone."""
+        return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", text)
+
+    def encode_packed(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a list of ids: byte pieces are joined, control pieces are left out, the added space goes."""
-        out = bytearray()
-        for i in ids.tolist():
-            if i in self.of_byte:
-                out.append(self.of_byte[i])
-            elif i not in self.control:
-                out += self.pieces[i].encode()
-        text = out.decode(errors="replace").replace(SPACE, " ")
+        text = b"".join(map(self.values.__getitem__, ids.tolist())).decode(errors="replace").replace(SPACE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -205,8 +240,8 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
-        for batch in batches:
-            packed = [codec.encode_packed(t) for t in batch.column("text").to_pylist()]
+        for batch in text_chunks(batches):
+            packed = codec.encode_all(batch.column("text").to_pylist())
             offsets = np.concatenate(([0], np.cumsum([len(p) // 4 for p in packed]))).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(packed), "<i4"))
             ids = pa.ListArray.from_arrays(pa.array(offsets), values)
@@ -239,9 +274,9 @@ def encoding_digest(docs: DataFrame, model_path: str, doc_id: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
-        for batch in batches:
+        for batch in text_chunks(batches):
             texts = batch.column("text").to_pylist()
-            packed = [codec.encode_packed(t) for t in texts]
+            packed = codec.encode_all(texts)
             same = [codec.decode(np.frombuffer(p, "<u4")) == t.replace(SPACE, " ") for t, p in zip(texts, packed, strict=True)]
             columns = ([len(t) for t in texts], [len(p) // 4 for p in packed], [zlib.crc32(p) for p in packed])
             yield pa.RecordBatch.from_arrays(
