@@ -18,9 +18,12 @@ def hours_between(start: Column, end: Column) -> Column:
 
 
 def iso_timestamp(text: Column | str) -> Column:
-    """ISO-8601 text (``Z`` or numeric offset) to a timestamp, null where it does not parse."""
-    c = F.col(text) if isinstance(text, str) else text
-    return c.cast("string").try_cast("timestamp")
+    """ISO-8601 text (``Z`` or numeric offset) to a timestamp, null where it does not parse.
+
+    A text without a date is null: the cast alone would put a bare time of day on today's date.
+    """
+    c = (F.col(text) if isinstance(text, str) else text).cast("string")
+    return F.when(c.rlike(r"^\s*\d{4}"), c.try_cast("timestamp"))
 
 
 def trailing(col: Column | str, anchor: Column, amount: int, unit: str = "day") -> Column:

@@ -240,6 +240,7 @@ def attrition_by_manager(
         .withColumn(
             "voluntary_attrition_rate_annualised",
             F.col("voluntary_terms").cast("double")
-            / F.nullif(F.col("avg_active_headcount"), F.lit(0.0)),
+            / F.nullif(F.col("avg_active_headcount"), F.lit(0.0))
+            * F.lit(12.0 / months),
         )
     )

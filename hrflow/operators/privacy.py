@@ -159,13 +159,45 @@ def _tombstone_for(raw: DataFrame, ids: DataFrame) -> DataFrame:
     ).drop("_hit", "_person")
 
 
+def _of_erased(landed: DataFrame, log: DataFrame, aliases: DataFrame | None) -> DataFrame:
+    """Adds ``_hit``: the row belongs to an erased person, by its record id or by a reference in its payload."""
+    gone = log.select("person_external_id").distinct()
+    kinds = {"person_external_id": ("persons", gone)}
+    if aliases is not None:
+        known = aliases.join(gone, "person_external_id", "left_semi")
+        for column, obj in (("worker_id", "workers"), ("candidate_id", "candidates")):
+            if column in aliases.columns:
+                kinds[column] = (obj, known.where(F.col(column).isNotNull()))
+    objects = F.col("_source_object") if "_source_object" in landed.columns else F.lit("persons")
+    hits = F.lit(False)
+    for column, (obj, ids) in kinds.items():
+        own = F.when(objects == obj, F.col("_source_record_id"))
+        landed = _flag(
+            landed.withColumn("_ref", F.coalesce(F.get_json_object("raw_payload", f"$.{column}"), own)), "_ref", ids, column
+        )
+        landed = landed.withColumnRenamed("_hit", f"_hit_{column}").drop("_ref")
+        hits = hits | F.col(f"_hit_{column}")
+    return landed.withColumn("_hit", hits).drop(*[f"_hit_{c}" for c in kinds])
+
+
 def guard_erased(
-    landed: DataFrame, log: DataFrame, id_column: str = "_source_record_id", log_column: str = "person_external_id"
+    landed: DataFrame, log: DataFrame, aliases: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Split newly landed rows into (clean, blocked): blocked ones belong to persons already erased."""
-    ids = log.select(F.col(log_column).alias("_id")).distinct()
-    cond = F.col(id_column) == F.col("_id")
-    return landed.join(ids, cond, "left_anti"), landed.join(ids, cond, "left_semi")
+    """Split newly landed rows of any source object into (clean, blocked): blocked ones belong to persons already erased.
+
+    A row belongs to the person whose id it or its payload has, and to the owner of the worker or candidate it is about.
+    ``aliases`` (person_external_id, and worker_id or candidate_id or both) says who owns those ids; keys survive an
+    erasure, so ``dim_employee`` and the candidate bridge still know.
+    """
+    flagged = _of_erased(landed, log, aliases)
+    return flagged.where("not _hit").drop("_hit"), flagged.where("_hit").drop("_hit")
+
+
+def tombstone_erased(landed: DataFrame, log: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """All landed rows; the payloads of those that :func:`guard_erased` would block become tombstones (``_is_erased``)."""
+    flagged = _of_erased(landed, log, aliases)
+    payload = F.when(F.col("_hit"), tombstone(F.col("raw_payload"))).otherwise(F.col("raw_payload"))
+    return flagged.withColumns({"raw_payload": payload, "_is_erased": F.col("_hit")}).drop("_hit")
 
 
 def stability_check(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hrflow.functions import safe_ratio
 from hrflow.operators.calendar import period_start
-from hrflow.operators.snapshot import snapshot_periods
+from hrflow.operators.snapshot import daily_totals, snapshot_periods
 
 Tables = Mapping[str, DataFrame]
 
@@ -223,6 +223,32 @@ def _aggregate(m: Measure, keep: Column | None, weight: str | None) -> Column:
     raise ValueError(f"unknown aggregation {m.agg!r}")
 
 
+def _daily(
+    model: SemanticModel, measures: Sequence[tuple[str, Measure, Column | None]], tables: Tables, dims: Sequence[str]
+) -> DataFrame:
+    """Measures of an interval model by day, from the intervals' first and last days: no row per interval and day."""
+    rows = _with_dims(tables[model.table], model, dims, tables)
+    keeps = [keep for _, _, keep in measures]
+    if all(k is not None for k in keeps):
+        rows = rows.where(reduce(lambda a, b: a | b, keeps))
+    by, values = [f"_d_{d}" for d in dims], {}
+    for name, m, keep in measures:
+        x = F.col(m.column) if keep is None else F.when(keep, F.col(m.column))
+        present = F.when(x.isNotNull(), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        values |= {f"{name}__rows": present, f"{name}__sum": present if m.agg == "count" else F.coalesce(x, F.lit(0))}
+    totals = daily_totals(rows, values, by)
+
+    def value(name: str, m: Measure) -> Column:
+        total, n = F.col(f"{name}__sum"), F.col(f"{name}__rows")
+        return F.when(n > 0, safe_ratio(total, n) if m.agg == "average" else total).alias(name)
+
+    return totals.select(
+        period_start(F.col("snapshot_date"), "day").alias("metric_time"),
+        *[F.col(f"_d_{d}").alias(d) for d in dims],
+        *[value(name, m) for name, m, _ in measures],
+    )
+
+
 def _semi_additive(
     model: SemanticModel, measures: Sequence[tuple[str, Measure, Column | None]], tables: Tables, grain: str, dims
 ) -> DataFrame:
@@ -274,9 +300,13 @@ def metric(
     for model_name, members in by_model.items():
         model = SEMANTIC_MODELS[model_name]
         if semi_additive == "avg" and model.weight is not None:
-            measures = [(n, model.measures[METRICS[n].measure], None) for n in members]
+            measures = [(n, model.measures[METRICS[n].measure], filters[n]() if filters[n] else None) for n in members]
             parts.append(_semi_additive(model, measures, tables, grain, dims))
             continue
+        if grain == "day" and model.weight is not None:
+            measures = [(n, model.measures[METRICS[n].measure], filters[n]() if filters[n] else None) for n in members]
+            parts.append(_daily(model, measures, tables, dims))
+            continue
         rows = _with_dims(model.rows(tables, grain), model, dims, tables)
         conditions = [filters[n]() if filters[n] else None for n in members]
         if all(c is not None for c in conditions):
@@ -305,6 +335,8 @@ def metric(
 def measure(name: str, tables: Tables, grain: str = "day", dims: Sequence[str] = ()) -> DataFrame:
     """A raw, unfiltered measure by period and slices, also for measures without a metric."""
     model = _model_of(name)
+    if grain == "day" and model.weight is not None:
+        return _daily(model, [(name, model.measures[name], None)], tables, dims)
     rows = _with_dims(model.rows(tables, grain), model, dims, tables)
     return rows.groupBy("metric_time", *[F.col(f"_d_{d}").alias(d) for d in dims]).agg(
         _aggregate(model.measures[name], None, model.weight).alias(name)

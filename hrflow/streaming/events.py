@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hrflow.operators.dedupe import latest
 from hrflow.operators.reconcile import reconcile
 
 
@@ -21,17 +24,29 @@ def read_events(
     return reader.load(path)
 
 
-def dedupe_events(events: DataFrame, id_col: str, ts_col: str, watermark: str) -> DataFrame:
-    """First delivery of every event id; state older than the watermark is dropped.
+def first_deliveries(landed: DataFrame, id_col: str, ts_col: str) -> DataFrame:
+    """One row per event id, the earliest; of equal times the one with the smallest hash of all columns.
 
-    A redelivery that arrives later than the watermark passes again. ``reconcile_events`` finds such
-    differences against a full extract.
+    The stream lands every delivery, however late, and repeats are removed here. A watermark in the stream would drop
+    events that come behind it for the first time.
     """
-    return events.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark([id_col])
+    return latest(landed, [id_col], [F.col(ts_col).asc_nulls_last(), F.xxhash64(*landed.columns)])
+
+
+def check_deliveries(events: DataFrame, id_col: str, ts_col: str, as_of: dt.datetime, hours: int = 24) -> DataFrame:
+    """One row if the events of the last ``hours`` before ``as_of`` hold an id more than once: rows and distinct ids."""
+    end = F.lit(as_of).cast("timestamp")
+    recent = events.where((F.col(ts_col) > end - F.expr(f"interval {int(hours)} hours")) & (F.col(ts_col) <= end))
+    per_id = recent.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    totals = per_id.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count(F.lit(1)).alias("distinct_ids"))
+    return totals.where("row_count <> distinct_ids")
 
 
 def land_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything available now and stop. A rerun continues where the checkpoint ends."""
+    """Append every delivery available now, repeats and late ones too, and stop.
+
+    A rerun continues where the checkpoint ends.
+    """
     return (
         events.writeStream.format("parquet")
         .outputMode("append")

@@ -40,9 +40,9 @@ def test_day_diff_counts_midnights(spark):
 
 
 def test_iso_timestamp(spark):
-    df = spark.createDataFrame([("2024-01-01T10:00:00Z",), ("2024-01-01T10:00:00+02:00",), ("no",), (None,)], "t string")
+    df = spark.createDataFrame([("2024-01-01T10:00:00Z",), ("2024-01-01T10:00:00+02:00",), ("no",), (None,), ("T12:30",), ("12:30",), ("2024-01-01",)], "t string")
     got = [r[0] for r in df.select(iso_timestamp("t").cast("string")).collect()]
-    assert got == ["2024-01-01 10:00:00", "2024-01-01 08:00:00", None, None]
+    assert got == ["2024-01-01 10:00:00", "2024-01-01 08:00:00", None, None, None, None, "2024-01-01 00:00:00"]
 
 
 def test_round_away_is_binary(spark):

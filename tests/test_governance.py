@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hrflow.operators import identity, privacy, quality, reconcile
 from hrflow.plans import core
-from hrflow.streaming.events import dedupe_events, land_events, read_events, reconcile_events
+from hrflow.streaming.events import check_deliveries, first_deliveries, land_events, read_events, reconcile_events
 from tests.helpers import d, rows, ts, workers
 
 NOW = dt.datetime(2024, 6, 1, 12)
@@ -122,6 +122,28 @@ def test_erase_all_scope_and_guard(spark):
     assert got["v2"][0]["first_name"] == "Ann" and got["v2"][1] is False
     clean, blocked = privacy.guard_erased(t["raw_persons"], new["erasure_log"])
     assert (rows(clean.select("_source_record_id")), rows(blocked.select("_source_record_id"))) == ([("P2",)], [("P1",)])
+    # Worker, version and event rows of an erased person are held back too, with and without the person's id in them.
+    aliases = spark.createDataFrame([("P1", "W1", "C1"), ("P2", "W3", None)], "person_external_id string, worker_id string, candidate_id string")
+    late = spark.createDataFrame(
+        [
+            ("workers", "W1", "{}"),
+            ("workers", "W3", '{"person_external_id": "P2", "first_name": "Bo"}'),
+            ("workers", "W9", '{"person_external_id": "P1", "first_name": "Ann"}'),
+            ("employment_events", "E1", '{"worker_id": "W1"}'),
+            ("employment_events", "W1", '{"worker_id": "W3"}'),
+            ("candidates", "C1", '{"email": "a@b"}'),
+            ("applications", "A1", '{"candidate_id": "C1"}'),
+            ("applications", "A2", '{"candidate_id": "C2"}'),
+        ],
+        "_source_object string, _source_record_id string, raw_payload string",
+    )
+    clean, blocked = privacy.guard_erased(late, new["erasure_log"], aliases)
+    pick = lambda df: {(r._source_object, r._source_record_id) for r in df.collect()}
+    assert pick(clean) == {("workers", "W3"), ("employment_events", "W1"), ("applications", "A2")}
+    assert clean.columns == blocked.columns == late.columns and clean.count() + blocked.count() == late.count()
+    stones = {(r._source_object, r._source_record_id): r for r in privacy.tombstone_erased(late, new["erasure_log"], aliases).collect()}
+    assert "Ann" not in stones["workers", "W9"].raw_payload and json.loads(stones["candidates", "C1"].raw_payload) == {"email": "__ERASED__"}
+    assert {k for k, r in stones.items() if r._is_erased} == pick(blocked)
 
 
 def test_suppression_and_retention(spark):
@@ -182,13 +204,18 @@ def test_stream_lands_each_event_once_across_runs(spark, tmp_path):
     src, out, cp = (str(tmp_path / x) for x in ("src", "out", "cp"))
     first = spark.createDataFrame([(1, ts("2024-01-01 00:00:00")), (2, ts("2024-01-01 01:00:00")), (1, ts("2024-01-01 00:00:00"))], "id int, at timestamp")
     first.write.parquet(src)
-    run = lambda: land_events(dedupe_events(read_events(spark, src, first.schema), "id", "at", "2 days"), out, cp).awaitTermination()
+    run = lambda: land_events(read_events(spark, src, first.schema), out, cp).awaitTermination()
+    once = lambda: first_deliveries(spark.read.parquet(out), "id", "at")
     run()
-    assert rows(spark.read.parquet(out).select("id")) == [(1,), (2,)]
-    again = spark.createDataFrame([(2, ts("2024-01-01 01:00:00")), (3, ts("2024-01-01 02:00:00"))], first.schema)
+    assert rows(once().select("id")) == [(1,), (2,)]
+    # Late first deliveries, weeks behind what came before, land like any other.
+    again = spark.createDataFrame([(2, ts("2024-01-01 01:00:00")), (3, ts("2023-11-01 02:00:00"))], first.schema)
     again.write.mode("append").parquet(src)
     run()
-    landed = spark.read.parquet(out)
-    assert rows(landed.select("id")) == [(1,), (2,), (3,)]
+    landed = once()
+    assert rows(landed.select("id")) == [(1,), (2,), (3,)] and spark.read.parquet(out).count() == 5
+    day = ts("2024-01-01 12:00:00")
+    assert rows(check_deliveries(spark.read.parquet(out), "id", "at", day)) == [(4, 2)]
+    assert check_deliveries(landed, "id", "at", day).count() == 0
     full = first.unionByName(again).unionByName(spark.createDataFrame([(9, NOW)], first.schema))
     assert rows(reconcile_events(full, landed, ["id"])) == [(9, "missing")]

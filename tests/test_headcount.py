@@ -260,3 +260,9 @@ def test_attrition_counts_the_manager_at_the_time(spark):
     got = {emp[r.manager_employee_key]: (r.voluntary_terms, r.avg_active_headcount) for r in out.collect()}
     # W1 reports to the old boss only before the window of the last twelve months ends, then to the new one.
     assert got == {"boss": (0, 2.0), "new_boss": (1, 2.0)}
+    half = attrition_by_manager(
+        manager_chain(snapshot_on(iv, END)), scd, core.fact_employment_event(e), iv, core.dim_employee(w), END, "Eng%", 2,
+        voluntary=F.col("termination_reason") == "voluntary", regrettable=F.lit(False), months=6,
+    )
+    for r in half.collect():
+        assert r.voluntary_attrition_rate_annualised == 2 * r.voluntary_terms / r.avg_active_headcount

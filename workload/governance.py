@@ -472,6 +472,51 @@ def _guard(t, spark, sf):
     )
 
 
+@query(
+    "erasure_guard_workers",
+    check(
+        f"""select worker_id as _source_record_id, 'workers' as object, person_external_id in {_GONE} as blocked from workers
+            union all
+            select id, 'employment_events', w.person_external_id in {_GONE}
+            from (select distinct event_id as id, worker_id from events_fact) e join workers w using (worker_id)"""
+    ),
+)
+def _guard_workers(t, spark, sf):
+    """Worker rows and their events that arrive again after an erasure; events name the worker only."""
+    log = _erased(t)["erasure_log"]
+    aliases = t["dim_employee"].select("person_external_id", "worker_id")
+    documents = t["fact_employment_event"].select("event_id", "worker_id").distinct()
+    landed = _raw(t, "workers", "worker_id", RUN_2).unionByName(
+        landing.stamp(documents, "hris_workday", "employment_events", "run-2", "event_id", RUN_2)
+    )
+    clean, blocked = privacy.guard_erased(landed, log, aliases)
+    part = lambda df, hit: df.select("_source_record_id", F.col("_source_object").alias("object"), F.lit(hit).alias("blocked"))
+    return part(clean, False).unionByName(part(blocked, True))
+
+
+@query(
+    "erase_person_all",
+    check(
+        f"""select worker_id as _source_record_id, person_external_id in {_GONE} as erased,
+                   case when person_external_id in {_GONE} and first_name is not null then '__ERASED__' else first_name end as first_name
+            from workers"""
+    ),
+)
+def _erase_all(t, spark, sf):
+    """Scope "all": payloads of other raw tables that name the person become tombstones."""
+    tables = {
+        "dim_person": t["dim_person"],
+        "dim_employee": t["dim_employee"],
+        "raw_profiles": _raw(t, "workers", "worker_id"),
+    }
+    new = privacy.erase_person(tables, _requests(t), NOW, "engineer", "all")
+    return new["raw_profiles"].select(
+        "_source_record_id",
+        F.col("_is_erased").alias("erased"),
+        F.get_json_object("raw_payload", "$.first_name").alias("first_name"),
+    )
+
+
 @query(
     "k_anonymity",
     """select *  exclude (x), case when n >= 5 then x end as avg_balance,

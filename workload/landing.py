@@ -16,7 +16,7 @@ from hrflow.sources import landing
 from hrflow.sources.documents import as_documents, field_text, unfurl
 from hrflow.sources.ingest import REJECTS, ingest, raw_tables
 from hrflow.sources.flatten import base_model, json_field, json_field_cast, json_field_try_cast
-from hrflow.streaming.events import dedupe_events, land_events, read_events, reconcile_events
+from hrflow.streaming.events import check_deliveries, first_deliveries, land_events, read_events, reconcile_events
 from workload.checks import check, key
 from workload.registry import query
 from workload.views import AS_OF, table
@@ -477,34 +477,46 @@ def _with_raw(t):
     return {"dim_employee": dims, "raw_workers": raw}
 
 
-def _twice(spark, sf) -> str:
-    """The events as files of a stream folder, every event delivered twice."""
+def _delivered(spark, sf) -> str:
+    """The events as files of a stream folder: newest first, every event twice, so most are late."""
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-    e.write.parquet(path)
+    for late in (False, True):
+        e.where(F.dayofmonth("ts") <= 15 if late else F.dayofmonth("ts") > 15).write.mode("append").parquet(path)
     e.write.mode("append").parquet(path)
     return path
 
 
 def _landed_stream(spark, sf):
-    path = _twice(spark, sf)
+    """All deliveries, landed one file a batch."""
+    path = _delivered(spark, sf)
     schema = spark.read.parquet(path).schema
-    events = dedupe_events(read_events(spark, path, schema), "event_id", "ts", "60 days")
     target = f"{path}-landed"
-    land_events(events, target, f"{path}-checkpoint").awaitTermination()
+    land_events(read_events(spark, path, schema, max_files=1), target, f"{path}-checkpoint").awaitTermination()
     return spark.read.schema(schema).parquet(target)
 
 
-@query("stream_event_dedupe", "select event_id, ts, user_id, event_type, value, props from events")
+@query("stream_event_dedupe", "select distinct event_id, ts, user_id, event_type, value, props from events")
 def _stream(t, spark, sf):
-    """Events delivered twice and landed once by a streaming query."""
-    return _landed_stream(spark, sf)
+    """Events delivered out of order and twice, landed in full, then one row per event."""
+    return first_deliveries(_landed_stream(spark, sf), "event_id", "ts")
+
+
+@query(
+    "stream_delivery_check",
+    """select 2 * count(*) as row_count, count(distinct event_id) as distinct_ids from events
+       where ts > timestamp '2024-01-15 00:00:00' - interval 24 hour and ts <= timestamp '2024-01-15 00:00:00'
+       having count(*) > 0""",
+)
+def _delivery_check(t, spark, sf):
+    """The landed stream before its repeats are removed fails the check of the last 24 hours."""
+    return check_deliveries(_landed_stream(spark, sf), "event_id", "ts", dt.datetime(2024, 1, 15))
 
 
 @query("stream_reconcile", "select event_id, 'missing' as status from events where event_type = 'error'")
 def _stream_reconcile(t, spark, sf):
     """Full extract against a landed stream that lost one kind of event."""
-    landed = _landed_stream(spark, sf).where("event_type <> 'error'")
+    landed = first_deliveries(_landed_stream(spark, sf), "event_id", "ts").where("event_type <> 'error'")
     return reconcile_events(table(spark, sf, "events"), landed, ["event_id"])
 
 
