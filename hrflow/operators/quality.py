@@ -61,13 +61,16 @@ def check_freshness(
     return df.agg(F.max(column).alias("max_loaded_at"), age.alias("age_hours")).withColumn("status", status)
 
 
-def check_scd2_overlap(scd: DataFrame) -> DataFrame:
-    """Pairs of profile versions of one employee that are valid on a common day.
+def check_scd2_overlap(scd: DataFrame, pairs: bool = False) -> DataFrame:
+    """Profile versions of one employee that share a day with a version that began no later.
 
-    Pairs per employee are bounded by the calendar as long as ``check_scd2_grain`` passes.
+    One row per version with one such other version, however many meet. ``pairs`` lists all pairs instead, whose number
+    grows with the square of an employee's faulty versions: for looking at a small set of findings.
     """
-    found = overlaps(scd, "employee_key", "employee_profile_key", "valid_from_date", "valid_to_date")
-    return found.withColumnsRenamed({"id_a": "profile_a", "id_b": "profile_b"})
+    columns = ("employee_key", "employee_profile_key", "valid_from_date", "valid_to_date")
+    if not pairs:
+        return overlapping_rows(scd, *columns)
+    return overlaps(scd, *columns).withColumnsRenamed({"id_a": "profile_a", "id_b": "profile_b"})
 
 
 def check_episode_overlap(episodes: DataFrame) -> DataFrame:

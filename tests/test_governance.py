@@ -38,7 +38,7 @@ def test_history_checks(spark):
         [("e", "k1", "w", d("2024-01-01"), d("2024-02-01")), ("e", "k2", "w", d("2024-01-20"), None), ("e", "k3", "w", d("2024-01-20"), None)],
         "employee_key string, employee_profile_key string, worker_id string, valid_from_date date, valid_to_date date",
     )
-    pairs = [(r.profile_a, r.profile_b) for r in quality.check_scd2_overlap(scd).collect()]
+    pairs = [(r.profile_a, r.profile_b) for r in quality.check_scd2_overlap(scd, pairs=True).collect()]
     assert sorted(pairs) == [("k1", "k2"), ("k1", "k3"), ("k2", "k3")]
     assert rows(quality.check_scd2_grain(scd)) == [("w", d("2024-01-20"), 2)]
     ep = core.employment_episodes(workers(spark, [("a", "P", "2024-01-01", None), ("b", "P", "2024-02-01", None), ("c", "Q", "2024-01-01", None)]), d("2024-03-01"))

@@ -99,7 +99,24 @@ _BROKEN_SCD = """(select employee_profile_key, employee_key, valid_from_date,
 def _scd_overlap(t, spark, sf):
     """History in which one kind of version ends 45 days late."""
     late = F.when(F.col("job_level") == "P", F.date_add("valid_to_date", 45)).otherwise(F.col("valid_to_date"))
-    return quality.check_scd2_overlap(t["dim_employee_profile_scd"].withColumn("valid_to_date", late))
+    return quality.check_scd2_overlap(t["dim_employee_profile_scd"].withColumn("valid_to_date", late), pairs=True)
+
+
+@query(
+    "dq_scd2_overlap_rows",
+    check(
+        f"""with b as (select employee_key, employee_profile_key as id, valid_from_date as a,
+                          coalesce(valid_to_date, date '9999-12-31') as z from {_BROKEN_SCD} broken)
+            select distinct x.employee_key, x.id, x.a as start
+            from b x join b y on y.employee_key = x.employee_key and y.id <> x.id
+            where x.a < y.z and y.a < x.z and x.a < x.z and y.a < y.z and (y.a < x.a or (y.a = x.a and y.id < x.id))"""
+    ),
+)
+def _scd_overlap_rows(t, spark, sf):
+    """The same history, one row per version that meets an earlier one."""
+    late = F.when(F.col("job_level") == "P", F.date_add("valid_to_date", 45)).otherwise(F.col("valid_to_date"))
+    found = quality.check_scd2_overlap(t["dim_employee_profile_scd"].withColumn("valid_to_date", late))
+    return found.select("employee_key", "id", "start").distinct()
 
 
 @query(
