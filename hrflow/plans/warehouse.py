@@ -34,9 +34,13 @@ class Tables(dict):
         self[name] = self.builders[name]()
         return self[name]
 
-    def pin(self, name: str) -> DataFrame:
-        """Compute a table once and read it from storage from now on. For tables a query uses twice."""
-        self[name] = cut_lineage(self[name], name)
+    def pin(self, name: str, columns: Sequence[str] = ()) -> DataFrame:
+        """Compute a table once, its ``columns`` alone if given, and read it from storage from now on.
+
+        For tables that a query uses twice.
+        """
+        df = self[name]
+        self[name] = cut_lineage(df.select(*columns) if columns else df, name)
         return self[name]
 
 
@@ -121,3 +125,12 @@ def publish(t: Tables, folder: str, names: Sequence[str] | None = None) -> Table
             df.write.mode("overwrite").parquet(path)
         t[name] = df.sparkSession.read.parquet(path)
     return t
+
+
+def build(raw: Mapping[str, DataFrame], folder: str, as_of: dt.date, **options) -> Tables:
+    """Staging relations, core tables and marts from raw tables, stored below ``folder``.
+
+    Staging is stored first, so each raw table is read, deduplicated and parsed once for all that depends on it.
+    """
+    stored = publish(staging(raw), f"{folder}/staging")
+    return publish(warehouse(stored, as_of, **options), f"{folder}/core")

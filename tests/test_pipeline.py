@@ -13,9 +13,10 @@ from hrflow.operators.snapshot import stored_day
 from hrflow.plans.contracts import CORE_CONTRACTS, contract_report
 from hrflow.plans.metrics import metric
 from hrflow.plans.reports import EXTRACTS, REPORTS, extract
-from hrflow.plans.warehouse import publish, staging, warehouse
+from hrflow.plans.warehouse import build, publish, staging, warehouse
 from hrflow.sources.ingest import ingest, raw_tables
 from hrflow.sources.landing import METADATA_COLUMNS
+from tests.helpers import rows
 
 AT = dt.datetime(2024, 6, 1, 6)
 AS_OF = dt.date(2024, 6, 30)
@@ -71,8 +72,14 @@ def built(spark, tmp_path_factory):
     raw = str(tmp / "raw")
     runs = [ingest(spark, s, write(tmp / s), raw, AT, truncate_first=True, multiline=True) for s in ("hris_workday", "ats_ashby")]
     tables = raw_tables(spark, raw)
-    t = warehouse(staging(tables), AS_OF, start=dt.date(2024, 1, 1))
-    return publish(t, str(tmp / "warehouse")), tables, runs, tmp
+    return build(tables, str(tmp / "warehouse"), AS_OF, start=dt.date(2024, 1, 1)), tables, runs, tmp
+
+
+def test_stored_staging_gives_the_same_tables(spark, built, tmp_path):
+    t, raw, _, _ = built
+    direct = publish(warehouse(staging(raw), AS_OF, start=dt.date(2024, 1, 1)), str(tmp_path / "w"), ["dim_employee", "active_intervals"])
+    for name in ("dim_employee", "active_intervals"):
+        assert rows(t[name]) == rows(direct[name])
 
 
 def test_raw_tables_are_complete(built):

@@ -342,11 +342,15 @@ def _chain_ancestors(t, spark, sf):
     )
 
 
+#: What the queries over one day and its managers read of the intervals.
+DAY_PIN = {"active_intervals": ("employee_key", "manager_employee_key", "department", "from_date", "to_date")}
+
+
 def _today(t):
     return snapshot_on(t["active_intervals"], last_day(t["active_intervals"]))
 
 
-@query("manager_chain_day", check("select * from last_chain"), pin=("active_intervals",))
+@query("manager_chain_day", check("select * from last_chain"), pin=DAY_PIN)
 def _chain_day(t, spark, sf):
     """Chain rows of the last snapshot day."""
     return manager_chain(_today(t))
@@ -357,7 +361,7 @@ def _chain_day(t, spark, sf):
     check(
         "select depth as levels_above, count(distinct employee_key) as employees from last_chain group by depth"
     ),
-    pin=("active_intervals",),
+    pin=DAY_PIN,
 )
 def _pyramid(t, spark, sf):
     return org_pyramid(manager_chain(_today(t)))
@@ -370,7 +374,7 @@ def _pyramid(t, spark, sf):
                   count(*) as direct_reports
            from last_snapshot s join employees m on m.employee_key = s.manager_employee_key group by all"""
     ),
-    pin=("active_intervals",),
+    pin=DAY_PIN,
 )
 def _span(t, spark, sf):
     return span_of_control(_today(t), t["dim_employee"])
@@ -384,7 +388,7 @@ def _span(t, spark, sf):
                   count(distinct employee_key) as total_org_size
            from last_chain group by all"""
     ),
-    pin=("active_intervals",),
+    pin=DAY_PIN,
 )
 def _org_size(t, spark, sf):
     return org_size(manager_chain(_today(t)))
@@ -399,7 +403,7 @@ def _org_size(t, spark, sf):
                  where manager_employee_key is not null group by all) x
            join last_snapshot m on m.employee_key = x.manager_employee_key group by m.department"""
     ),
-    pin=("active_intervals",),
+    pin=DAY_PIN,
 )
 def _span_stats(t, spark, sf):
     return span_stats(_today(t))
@@ -455,7 +459,7 @@ def _survivors(t, spark, sf):
                  on h.k = m.manager_employee_key
             left join employees e on e.employee_key = m.manager_employee_key"""
     ),
-    pin=("active_intervals",),
+    pin=DAY_PIN,
 )
 def _attrition_subtree(t, spark, sf):
     return attrition_by_manager(

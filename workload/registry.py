@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,17 +12,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None, pin: tuple[str, ...] = ()):
+def query(name: str, sql: str | None = None, pin: Mapping[str, tuple[str, ...]] | None = None):
     """Registers a function of (tables, spark, sf_dir); ``sql`` is the equivalent for the checking database.
 
-    ``pin`` names tables that the query reads more than once; they are computed once and stored.
+    ``pin`` names tables that the query reads more than once, and their columns that it needs; they are computed once
+    and stored.
     """
 
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             t = all_tables(spark, sf_dir)
-            for table in pin:
-                t.pin(table)
+            for table, columns in (pin or {}).items():
+                t.pin(table, columns)
             return fn(t, spark, sf_dir)
 
         run.__name__ = name
