@@ -30,7 +30,7 @@ from hrflow.operators.snapshot import (
 from hrflow.plans import core
 from hrflow.plans.people_metrics import attrition_annualised, mobility_rate, workforce_on
 from workload.checks import check, key, key_if
-from workload.registry import query
+from workload.registry import DAY_PIN, query
 from workload.views import AS_OF, START, table
 
 
@@ -342,10 +342,6 @@ def _chain_ancestors(t, spark, sf):
     )
 
 
-#: What the queries over one day and its managers read of the intervals.
-DAY_PIN = {"active_intervals": ("employee_key", "manager_employee_key", "department", "from_date", "to_date")}
-
-
 def _today(t):
     return snapshot_on(t["active_intervals"], last_day(t["active_intervals"]))
 

@@ -11,6 +11,9 @@ from workload.views import all_tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
+#: What the queries over one day, its managers and departments read of the intervals.
+DAY_PIN = {"active_intervals": ("employee_key", "manager_employee_key", "department", "from_date", "to_date")}
+
 
 def query(name: str, sql: str | None = None, pin: Mapping[str, tuple[str, ...]] | None = None):
     """Registers a function of (tables, spark, sf_dir); ``sql`` is the equivalent for the checking database.
