@@ -86,18 +86,20 @@ def process_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
-def text_chunks(batches, limit: int = 4 << 20):
+def text_chunks(batches, limit: int = 2 << 20, text: str = "text"):
     """Slices of Arrow batches with about ``limit`` bytes of the column ``text`` each, one row at least.
 
-    Keeps the arrays of a task small whatever the batch size is. Only a single longer text exceeds the limit.
+    Keeps the arrays of a task small whatever the batch size is. Only a single longer text exceeds the limit. Memory
+    that Arrow holds in reserve goes back at the end, as a worker process serves other stages later.
     """
     for batch in batches:
-        sizes = np.diff(offsets_of(batch.column("text")))
+        sizes = np.diff(offsets_of(batch.column(text)))
         at = 0
         while at < batch.num_rows:
             stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    pa.default_memory_pool().release_unused()
 
 
 def offsets_of(column: pa.Array) -> np.ndarray:

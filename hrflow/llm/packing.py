@@ -36,7 +36,7 @@ class WordIds:
     #: Characters that need the full pattern, composition or care when lower-cased.
     NOT_PLAIN = re.compile("[^\t-\r -~\u00a1-\u024f]|[\u00b2\u00b3\u00b9\u00bc-\u00be\u0130]")
 
-    def __init__(self, spec: str, most: int = 500_000):
+    def __init__(self, spec: str, most: int = 250_000):
         self.tokenizer = Tokenizer.from_str(spec)
         told = json.loads(spec)
         steps = [x.get("type") for x in (told["normalizer"] or {}).get("normalizers", [])]
@@ -273,7 +273,7 @@ def pack(
     text: str = "text",
     size: int = 2048,
     end_id: int = 0,
-    bucket_rows: int = 50_000,
+    bucket_rows: int = 1000,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of every document.
 
@@ -298,10 +298,12 @@ def pack(
     for row in histogram:
         counts[row["length"]] = row["count"]
     slots = Slots(plan(counts, size), size)
-    buckets = max(1, -(-int(counts.sum()) // bucket_rows))
-    bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("k1", "k2", "piece"), F.lit(buckets)))
+    buckets = F.ceil(F.col("count") / bucket_rows)
+    spread = F.broadcast(pieces.groupBy("length").count().select("length", buckets.alias("buckets")))  # at most ``size`` rows
+    bucket = F.pmod(F.xxhash64("k1", "k2", "piece"), F.col("buckets"))
+    bucketed = pieces.join(spread, "length").withColumn("bucket", bucket).drop("buckets")
     sizes = bucketed.groupBy("length", "bucket").count()
-    # At most size * buckets counts, summed in front of each bucket of a length.
+    # One count a bucket, summed in front of each bucket of its length.
     before = sizes.withColumn("first", F.sum("count").over(Window.partitionBy("length").orderBy("bucket")) - F.col("count"))
     number = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("k1", "k2", "piece"))
     numbered = bucketed.withColumn("number", number).join(before.drop("count"), ["length", "bucket"])

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import BASE, BASE_INVERSE, Scratch, beside_row_key, fresh, mixed, powers, with_row_key
+from hrflow.llm.common import BASE, BASE_INVERSE, Scratch, beside_row_key, fresh, mixed, powers, text_chunks, with_row_key
 
 #: Windows that are examined at once; their positions fit into the low bits of a packed minimum.
 CHUNK = 1 << 20
@@ -72,7 +72,7 @@ def _bytes(scalar: pa.Scalar) -> bytes:
 def _anchor_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length, gram)
-        for batch in batches:
+        for batch in text_chunks(batches):
             found = [anchors.of(np.frombuffer(t.as_buffer(), np.uint8)) for t in batch.column("text")]
             row = pa.array(np.repeat(np.arange(len(found)), [len(p) for p, _ in found]))
             place = np.concatenate([p for p, _ in found] or [np.zeros(0, np.int64)])
@@ -88,7 +88,7 @@ def _contexts(length: int, gram: int):
     """A digest of what surrounds each anchor: all strings of ``length`` bytes that hold it lie inside."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_chunks(batches):
             rows = []
             for k1, k2, text, marks in zip(
                 batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("text"), batch.column("marks").to_pylist(), strict=True
@@ -110,7 +110,7 @@ def _snippets(length: int, gram: int):
     kinds = [pa.int64()] * 6 + [pa.binary()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_chunks(batches):
             rows = []
             for k1, k2, text, marks in zip(
                 batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), batch.column("text"), batch.column("marks").to_pylist(), strict=True
@@ -262,7 +262,7 @@ def repeated_intervals(docs: DataFrame, scratch: Scratch, length: int = 400, gra
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_chunks(batches):
         rows = []
         for text, marks in zip(batch.column("text"), batch.column("marks").to_pylist(), strict=True):
             text = _bytes(text)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import Scratch, with_row_key
+from hrflow.llm.common import Scratch, text_chunks, with_row_key
 from hrflow.llm.components import connected_components
 
 SEED = 42
@@ -43,7 +43,7 @@ def fingerprint(text: bytes, width: int = 3, piece: int = 100_000) -> int:
 
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text_chunks(batches):
             values = [fingerprint(t.as_buffer().to_pybytes(), width) for t in batch.column("text")]
             signed = np.array(values, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signed)], ["doc_id", "fp"])

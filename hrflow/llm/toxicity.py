@@ -6,12 +6,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import text_or_empty
+from hrflow.llm.common import text_chunks, text_or_empty
 
 #: A sentence ends at a line end, or after one of these marks and white space.
 SENTENCE_END = re.compile(r"(?<=[.!?…。！？])\s+|[\n\r]+")
@@ -36,7 +35,7 @@ class ToxicityModel:
 
     def word_weight(self, word: str, known: dict[str, float]) -> float:
         """The word's weight, remembered in ``known``, which is emptied when it has grown large."""
-        if len(known) > 300_000:
+        if len(known) > 200_000:
             known.clear()
         known[word] = weight = sum(self.weights.get(x, 0.0) for x in features(word))
         return weight
@@ -146,7 +145,7 @@ def _running():
 def _scored(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in text_chunks(batches):
             found = [model.score(t, known) for t in batch.column("text").to_pylist()]
             columns = [batch.column("doc_id"), *(pa.array(x, t) for x, t in zip(zip(*found, strict=True), KINDS, strict=True))] if found else None
             if columns:
@@ -173,7 +172,7 @@ def toxic_sentences(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        for batch in batches:
+        for batch in text_chunks(batches):
             rows = []
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = sentences(t)
@@ -187,14 +186,11 @@ def toxic_sentences(docs: DataFrame, model: ToxicityModel, threshold: float = 0.
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.3, text: str = "text") -> DataFrame:
     """The rows whose text scores below ``threshold``, with all their columns."""
-    score = F.pandas_udf(_batch_score(model), "double")
-    return docs.filter(score(text_or_empty(text)) < threshold)
 
-
-def _batch_score(model: ToxicityModel):
-    def run(texts: pd.Series) -> pd.Series:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
-        return pd.Series([model.score(t, known)[0] for t in texts], dtype="float64")
-
-    return run
+        for batch in text_chunks(batches, text=text):
+            scores = [model.score(t or "", known)[0] for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array([x < threshold for x in scores], pa.bool_()))
 
+    return docs.mapInArrow(run, docs.schema)
