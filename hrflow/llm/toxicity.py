@@ -62,15 +62,24 @@ class ToxicityModel:
 
 
 def fit(
-    texts: list[str], labels: list[int], min_docs: int = 3, steps: int = 100, penalty: float = 2e-4, rate: float = 0.15
+    texts: list[str],
+    labels: list[int],
+    min_docs: int = 3,
+    steps: int = 100,
+    penalty: float = 2e-4,
+    rate: float = 0.15,
+    stands_for: tuple[float, float] = (1.0, 1.0),
 ) -> ToxicityModel:
     """Weights that maximise the likelihood of the document labels under noisy-or over sentences.
 
     Gradient steps (Adam) with an L1 shrinkage that leaves features without evidence at zero. Features that occur in
     fewer than ``min_docs`` documents have no weight. With labels of one kind only, the model is that share everywhere.
+    A document counts as often as ``stands_for`` says of its label, so that a sample keeps the shares of what it was drawn from.
     """
     y = np.array(labels, np.float64)
-    share = (y.sum() + 0.5) / (len(y) + 1)
+    counts = np.array(stands_for, np.float64)[y.astype(np.int64)]
+    share = ((counts * y).sum() + 0.5) / (counts.sum() + 1)
+    counts = counts * (len(y) / max(1.0, counts.sum()))
     words: dict[str, int] = {}
     word, cell, owner, seen = [], [], [], Counter()
     for d, text in enumerate(texts):
@@ -82,7 +91,7 @@ def fit(
             owner.append(d)
             present |= bag
         seen.update({f for x in present for f in features(x)})
-    size = max(1.0, len(owner) / max(1, len(y)))
+    size = max(1.0, counts[np.array(owner, np.int64)].sum() / max(1, len(y)))
     # Sentences without evidence start well below the share: long clean texts have thousands of them.
     bias = float(np.log(np.expm1(-np.log1p(-share) / size)) - 7)
     index = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= min_docs))}
@@ -97,7 +106,7 @@ def fit(
         z = w[-1] + np.bincount(cell, np.bincount(of_word, w[of_feature], len(words))[word], len(owner))
         p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         keep = np.bincount(owner, np.log1p(-np.minimum(p, 1 - 1e-12)), len(y))  # log of the chance of being clean
-        slope = -p * np.where(y == 1, np.exp(keep) / np.maximum(-np.expm1(keep), 1e-12), -1.0)[owner]
+        slope = -p * (counts * np.where(y == 1, np.exp(keep) / np.maximum(-np.expm1(keep), 1e-12), -1.0))[owner]
         by_word = np.bincount(word, slope[cell], len(words))
         g = np.append(np.bincount(of_feature, by_word[of_word], len(index)), slope.sum()) / len(y)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
@@ -122,18 +131,23 @@ def train_toxicity(
     The sample is a documented bound: of each label the rows with the smallest hash of the id, so it does not depend on
     order or partitioning. Labels other than 0 and 1, null ids and null texts are left out; of several labels of an id the largest
     counts. ``max_chars`` bounds what the driver holds: documents beyond it, in order of the hash, are not used
-    for learning. Without any row the model scores everything alike.
+    for learning. Without any row the model scores everything alike. Each label counts as often as it occurs among all labelled
+    documents, however many of them are in the sample, so scores mean the same at every size.
     """
     known = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
     known = known.withColumn("_order", F.xxhash64("_id"))
     parts = [known.filter(F.col("_label") == v).orderBy("_order", "_id").limit(max_rows) for v in (0, 1)]
     picked = F.broadcast(parts[0].union(parts[1]))  # at most 2 * max_rows narrow rows
-    sample = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(picked, "_id")
+    usable = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
+    total = {r["_label"]: r["count"] for r in usable.select("_id").join(known, "_id").groupBy("_label").count().collect()}
+    sample = usable.join(picked, "_id")
     sample = sample.withColumn("_before", F.sum(F.char_length("_text")).over(_running()))
     rows = sample.filter(F.col("_before") <= max_chars).select("_text", "_label").toArrow().to_pylist()
     if not rows:
         return ToxicityModel({}, 0.0)
-    return fit([r["_text"] for r in rows], [r["_label"] for r in rows])
+    used = Counter(r["_label"] for r in rows)
+    stands_for = tuple(total[v] / used[v] if used[v] else 1.0 for v in (0, 1))
+    return fit([r["_text"] for r in rows], [r["_label"] for r in rows], stands_for=stands_for)
 
 
 def _running():

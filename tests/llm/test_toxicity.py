@@ -66,3 +66,15 @@ def test_no_rows_no_labels(spark):
     assert toxicity_scores(docs(spark, []), model).count() == 0
     assert all(0 <= r.score <= 1 for r in toxicity_scores(docs(spark, odd_rows()), model).collect())
     assert fit(["a b", "c"], [0, 0]).weights == {}
+
+
+def test_a_cut_sample_keeps_the_share_of_labels(spark):
+    texts, labels = corpus(480)
+    keep = [i for i, y in enumerate(labels) if not y or i % 24 == 0]  # 20 toxic of 380
+    table = docs(spark, [(i, texts[i]) for i in keep])
+    marks = spark.createDataFrame([(i, labels[i]) for i in keep], "doc_id long, toxic int")
+    whole, cut = train_toxicity(table, marks), train_toxicity(table, marks, max_rows=20)
+    assert abs(whole.bias - cut.bias) < 1 and cut.bias < -3
+    # A document without evidence scores as the labelled documents have it, not as an even sample would.
+    one = fit(["a b"] * 2 + ["c d"] * 2, [0, 0, 1, 1], min_docs=9, stands_for=(9.0, 1.0))
+    assert one.score("e f")[0] < fit(["a b"] * 2 + ["c d"] * 2, [0, 0, 1, 1], min_docs=9).score("e f")[0]
