@@ -183,15 +183,17 @@ def train_languages(
 ) -> LanguageModel:
     """Fits a model on at most ``max_rows`` documents of each language, those with the smallest hash of id and text.
 
-    The sample is a documented bound, of ``max_chars`` characters in all as well: documents beyond it, smallest hash first,
-    are not used for learning. Rows with a null text or language are left out; without any row the model predicts ``und``.
+    The sample is a documented bound, of ``max_chars`` characters in all as well. The languages take turns, smallest hash first,
+    until it is spent; texts of over a hundredth of it come after all others, so none crowds out the rest. Rows with a null text or language are left out; without any row the model predicts ``und``.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(doc_id, text).alias("h"), F.char_length(text).alias("n"))
-    rows = rows.filter("lang is not null and text is not null")
+    rows = rows.filter("lang is not null and text is not null").filter(F.col("n") <= max_chars)
     # The rank is taken over narrow rows; Spark keeps the first max_rows of each task before the shuffle.
     narrow = rows.select("lang", "h", "n").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     narrow = narrow.filter(F.col("rank") <= max_rows)
-    narrow = narrow.withColumn("before", F.sum("n").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0)))
+    narrow = narrow.withColumn("long", F.col("n") > max_chars / 100)
+    narrow = narrow.withColumn("turn", F.row_number().over(Window.partitionBy("lang", "long").orderBy("rank")))
+    narrow = narrow.withColumn("before", F.sum("n").over(Window.orderBy("long", "turn", "lang").rowsBetween(Window.unboundedPreceding, 0)))
     picked = narrow.filter(F.col("before") <= max_chars).select("lang", "h").distinct()
     found = rows.select("lang", "text", "h").join(F.broadcast(picked), ["lang", "h"]).select("lang", "text").toArrow().to_pylist()
     return fit([r["text"] for r in found], [r["lang"] for r in found])

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hrflow.llm.common import text_chunks, text_or_empty
@@ -49,7 +49,8 @@ class ToxicityModel:
                 weight = known.get(word)
                 z += self.word_weight(word, known) if weight is None else weight
             logits.append(z)
-        return 1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500, 500)))
+        z = np.array(logits, np.float64)
+        return np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
     def score(self, text: str, known: dict[str, float] | None = None) -> tuple[float, int, float, str]:
         """Noisy-or over the sentences; number, score and text of the worst sentence (-1, 0, empty without any)."""
@@ -130,8 +131,9 @@ def train_toxicity(
 
     The sample is a documented bound: of each label the rows with the smallest hash of the id, so it does not depend on
     order or partitioning. Labels other than 0 and 1, null ids and null texts are left out; of several labels of an id the largest
-    counts. ``max_chars`` bounds what the driver holds: documents beyond it, in order of the hash, are not used
-    for learning. Without any row the model scores everything alike. Each label counts as often as it occurs among all labelled
+    counts. ``max_chars`` bounds what the driver holds. The labels take turns in order of the hash until it is spent; texts of
+    over a hundredth of it come after all others, so none crowds out the rest. Without any row the model scores everything 0:
+    nothing is known to be toxic. Each label counts as often as it occurs among all labelled
     documents, however many of them are in the sample, so scores mean the same at every size.
     """
     known = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
@@ -141,19 +143,20 @@ def train_toxicity(
     usable = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     total = {r["_label"]: r["count"] for r in usable.select("_id").join(known, "_id").groupBy("_label").count().collect()}
     sample = usable.join(picked, "_id")
-    sample = sample.withColumn("_before", F.sum(F.char_length("_text")).over(_running()))
+    sample = sample.withColumn("_chars", F.char_length("_text")).filter(F.col("_chars") <= max_chars)
+    sample = sample.withColumn("_long", F.col("_chars") > max_chars / 100)
+    sample = sample.withColumn("_turn", F.row_number().over(Window.partitionBy("_label", "_long").orderBy("_order", "_id")))
+    sample = sample.withColumn("_before", F.sum("_chars").over(_running()))
     rows = sample.filter(F.col("_before") <= max_chars).select("_text", "_label").toArrow().to_pylist()
     if not rows:
-        return ToxicityModel({}, 0.0)
+        return ToxicityModel({}, float("-inf"))
     used = Counter(r["_label"] for r in rows)
     stands_for = tuple(total[v] / used[v] if used[v] else 1.0 for v in (0, 1))
     return fit([r["_text"] for r in rows], [r["_label"] for r in rows], stands_for=stands_for)
 
 
 def _running():
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(0)).orderBy("_order", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    return Window.partitionBy(F.lit(0)).orderBy("_long", "_turn", "_label", "_id").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def _scored(model: ToxicityModel):

@@ -68,3 +68,13 @@ def test_nothing_to_learn(spark):
     model = train_languages(docs(spark, []))
     assert [(r.lang_pred, r.score) for r in languages(docs(spark, [(1, "abc")]), model).collect()] == [("und", 0.0)]
     assert languages(docs(spark, []), model).count() == 0
+
+
+def test_a_long_text_does_not_crowd_out_the_rest(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, text(lang, 25, i)) for i, lang in enumerate(list(WORDS) * 10)] + [(100 + i, "the " * 50_000) for i in range(9)]
+    lang = F.when(F.col("doc_id") < 100, F.element_at(F.array(*(F.lit(x) for x in WORDS)), (F.col("doc_id") % 3 + 1).cast("int"))).otherwise("en")
+    table = docs(spark, rows).withColumn("lang", lang)
+    for most in (100_000, 1_000_000):
+        assert train_languages(table, max_chars=most).langs == sorted(WORDS)

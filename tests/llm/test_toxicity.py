@@ -78,3 +78,19 @@ def test_a_cut_sample_keeps_the_share_of_labels(spark):
     # A document without evidence scores as the labelled documents have it, not as an even sample would.
     one = fit(["a b"] * 2 + ["c d"] * 2, [0, 0, 1, 1], min_docs=9, stands_for=(9.0, 1.0))
     assert one.score("e f")[0] < fit(["a b"] * 2 + ["c d"] * 2, [0, 0, 1, 1], min_docs=9).score("e f")[0]
+
+
+def test_a_long_text_does_not_crowd_out_the_rest(spark):
+    texts, labels = corpus(120)
+    for long in (60_000, 2_000_000):  # within and beyond the bound
+        table = docs(spark, [*enumerate(texts), *((1000 + i, "stone " * (long // 6)) for i in range(20))])
+        marks = spark.createDataFrame([*enumerate(labels), *((1000 + i, i % 2) for i in range(20))], "doc_id long, toxic int")
+        model = train_toxicity(table, marks, max_chars=1_000_000)
+        assert drop_toxic(table.filter("doc_id < 120"), model).count() == 90
+
+
+def test_nothing_to_learn_rejects_nothing(spark):
+    table = docs(spark, odd_rows())
+    model = train_toxicity(table, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert drop_toxic(table, model).count() == table.count()
+    assert {r.score for r in toxicity_scores(table, model).collect()} == {0.0}
