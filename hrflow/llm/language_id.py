@@ -90,13 +90,14 @@ class LanguageModel:
     def path(self, scores: np.ndarray) -> np.ndarray:
         """The best sequence of languages: sum of the words' scores less ``penalty`` for each switch.
 
-        If no stretch of words gains more than the penalty in another language than the best single one, that
-        language is the answer. Every stretch in another language costs one switch at least, so this test is exact.
+        If no stretch of words gains more than half the penalty in another language than the best single one, that
+        language is the answer: n stretches in other languages need n - 1 switches at least, and one if n is 1, which is
+        half a switch a stretch or more. So this test is exact.
         """
         best = int(scores.sum(axis=0).argmax())
         gain = np.zeros((len(scores) + 1, scores.shape[1]))
         np.cumsum(scores - scores[:, [best]], axis=0, out=gain[1:])
-        if (gain - np.minimum.accumulate(gain, axis=0)).max() <= self.penalty:
+        if (gain - np.minimum.accumulate(gain, axis=0)).max() <= self.penalty / 2:
             return np.full(len(scores), best)
         rows = scores.tolist()
         value, back = rows[0], []

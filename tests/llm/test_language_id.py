@@ -78,3 +78,17 @@ def test_a_long_text_does_not_crowd_out_the_rest(spark):
     table = docs(spark, rows).withColumn("lang", lang)
     for most in (100_000, 1_000_000):
         assert train_languages(table, max_chars=most).langs == sorted(WORDS)
+
+
+def test_two_languages_with_one_switch():
+    model = LanguageModel(["de", "en", "fr"], {}, np.zeros((1, 3)), {}, {})
+    scores = np.array([[-3.1, -1.5, 0.0]] * 4 + [[0.0, -1.5, -3.1]] * 4)
+    assert model.path(scores).tolist() == [2] * 4 + [0] * 4
+    r = np.random.default_rng(1)
+    value = lambda p, s: s[np.arange(6), list(p)].sum() - 2.0 * sum(x != y for x, y in zip(p[:-1], p[1:], strict=True))
+    model.penalty = 2.0
+    for _ in range(60):
+        gap = r.uniform(0.2, 0.9, 6)
+        scores = np.stack([np.where(np.arange(6) < 3, 0, -2 * gap), -gap, np.where(np.arange(6) < 3, -2 * gap, 0)], axis=1)
+        best = max(product(range(3), repeat=6), key=lambda p, s=scores: value(p, s))
+        assert abs(value(model.path(scores).tolist(), scores) - value(best, scores)) < 1e-9
