@@ -13,6 +13,7 @@ from hrflow.llm.language_id import languages, train_languages
 from hrflow.llm.ngram_lm import bigram_scores, train_bigrams
 from hrflow.llm.packing import pack
 from hrflow.llm.repeats import remove_repeats
+from hrflow.llm.secret_scan import secret_spans
 from hrflow.llm.sentencepiece_codec import encoding_digest
 from hrflow.llm.simhash_dedup import simhash_components
 from hrflow.llm.topk_search import top_k
@@ -177,3 +178,19 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "perplexity",
     )
+
+
+@query()
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: the base patterns, and candidates that decode to keys or signed tokens."""
+    found = secret_spans(_table(spark, sf_dir, "documents"))
+    base = ("assign", "access", "hex")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *map(of_kind, base),
+        F.sha2(listed(F.filter("secrets", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"),
+        listed(F.col("secrets")).alias("spans"),
+        F.array_join(F.transform("secrets", lambda s: s["detail"]), ",").alias("details"),
+    )
