@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import exact_duplicates
 from hrflow.llm.language_id import languages, train_languages
+from hrflow.llm.merkle_manifest import folded, leaf_digest, merkle_manifest, proof_digest
 from hrflow.llm.ngram_lm import bigram_scores, train_bigrams
 from hrflow.llm.packing import pack
 from hrflow.llm.repeats import remove_repeats
@@ -194,3 +195,82 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(F.col("secrets")).alias("spans"),
         F.array_join(F.transform("secrets", lambda s: s["detail"]), ",").alias("details"),
     )
+
+
+def _sql_crc(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL: eight shifts a byte, the byte enters at the first."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda b: [cast(ascii(b) as bigint), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(c, i) >> 1, 3988292384 * (xor(c, i) & 1))"
+    return f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), {bits}), lambda c, i: {step}), 4294967295)"
+
+
+def _sql_framed(column: str) -> str:
+    return f"coalesce(strlen(cast({column} as varchar)) || ':' || cast({column} as varchar), '-')"
+
+
+def _sql_merkle(levels: int = 8) -> str:
+    """The tree level by level; a level leaves a group of one node as it is. ``levels`` suffice for 16 ** levels leaves."""
+    text = "case when doc_id is not null and {crc} % 5 = 0 then translate(text, '{up}', '{low}') else text end".format(
+        crc=_sql_crc("cast(doc_id as varchar)"), up="ABCDEFGHIJKLMNOPQRSTUVWXYZ", low="abcdefghijklmnopqrstuvwxyz"
+    )
+    leaf = lambda t: "sha256(" + " || ".join(_sql_framed(c) for c in ("doc_id", "source", "lang", "n_chars")) + f" || {_sql_framed(t)})"
+    parts = [
+        f"d as (select *, {leaf('text')} as leaf, {leaf('changed')} as forged from (select *, {text} as changed from documents))",
+        "u0 as (select row_number() over (order by doc_id nulls first, leaf) as row, doc_id, source as g, leaf, forged, leaf as node, "
+        "row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i from d)",
+    ]
+
+    def rise(a: str, b: str, g: str) -> str:
+        many = f"count(*) over (partition by {g}) > 1"
+        return (
+            f"{b} as (select {g}, case when max(many) then min(i) // 16 else min(i) end as i, "
+            f"case when max(many) then sha256(string_agg(node, '' order by i)) else min(node) end as node "
+            f"from (select *, {many} as many from {a}) group by {g}, i // 16)"
+        )
+
+    def around(a: str, b: str, g: str) -> str:
+        run = f"partition by {g}, i // 16 order by i rows between"
+        return (
+            f"{b} as (select {g}, i, coalesce(string_agg(node, '') over ({run} unbounded preceding and 1 preceding), '') as l, "
+            f"coalesce(string_agg(node, '') over ({run} 1 following and unbounded following), '') as r, "
+            f"count(*) over (partition by {g}) > 1 as many from {a})"
+        )
+
+    for k in range(levels):
+        parts += [rise(f"u{k}", f"u{k + 1}", "g"), around(f"u{k}", f"a{k}", "g")]
+    parts.append(f"v0 as (select 1 as one, g, node, row_number() over (order by g nulls first) - 1 as i from u{levels})")
+    for k in range(levels):
+        parts += [rise(f"v{k}", f"v{k + 1}", "one"), around(f"v{k}", f"b{k}", "one")]
+
+    def up(before: str, after: str, side: str, same: str, mine: str) -> str:
+        return (
+            f"{after} as (select p.* exclude (k, proof, fold), case when s.many then k // 16 else k end as k, proof || s.l || s.r as proof, "
+            f"case when s.many then sha256(s.l || fold || s.r) else fold end as fold from {before} p join {side} s on {same} and s.i = p.{mine})"
+        )
+
+    parts.append("p0 as (select row, doc_id, g, leaf, i as k, '' as proof, forged as fold from u0)")
+    for k in range(levels):
+        parts.append(up(f"p{k}", f"p{k + 1}", f"a{k}", "s.g is not distinct from p.g", "k"))
+    parts.append(
+        f"q0 as (select p.* exclude (k), v.i as k, v.node as subroot from p{levels} p join v0 v on v.g is not distinct from p.g)"
+    )
+    for k in range(levels):
+        parts.append(up(f"q{k}", f"q{k + 1}", f"b{k}", "true", "k"))
+    return (
+        "with " + ",\n".join(p.replace(" as (", " as materialized (", 1) for p in parts) + f"\nselect doc_id, leaf, subroot, t.node as root, sha256(proof) as proof_sha256, "
+        f"fold as folded_root, fold = t.node as verified from q{levels}, v{levels} t"
+    )
+
+
+@query(_sql_merkle())
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash tree of all documents, and what the proofs say about texts that were tampered with."""
+    docs = _table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text = F.when(crc % 5 == 0, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    forged = leaf_digest(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text)
+    found = merkle_manifest(docs, carry={"forged": forged})
+    return found.withColumn("folded_root", folded(F.col("forged"), F.col("proof"))).select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
