@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hrflow.llm.conversation_repair import repair_conversations
 from hrflow.llm.exact_dedup import exact_duplicates
 from hrflow.llm.language_id import languages, train_languages
 from hrflow.llm.merkle_manifest import folded, leaf_digest, merkle_manifest, proof_digest
@@ -274,3 +275,79 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("folded_root", folded(F.col("forged"), F.col("proof"))).select(
         "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
     )
+
+
+def _sql_repair() -> str:
+    """The programme in SQL: a recursive query carries cost, audit and repaired text of the four states from row to row."""
+    old = ["s0", "s1", "s2", "s3"]
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    name = {2: "user", 3: "assistant"}
+
+    def struct(p: int, cost: str, audit: str, body: str) -> str:
+        return f"{{'c': {old[p]}.c + {cost}, 'a': {old[p]}.a || '{audit}', 'b': {old[p]}.b{body}}}"
+
+    ways: list[list[str]] = [[], [], [], []]
+    for p in range(4):
+        for k in range(2):
+            state = after[p] if k else p
+            added = f" || '{name[state]}:'" if k and p == 0 else f" || chr(10) || '{name[state]}:'" if k else ""
+            line = " || chr(10)" if state else ""
+            ways[state].append(struct(p, f"{4 + 3 * k}", "I" * k + "D", added))
+            new = after[state]
+            stay = "case when n.gone then 1000000000 when n.cut then 3 else 0 end"
+            kept = f"{3 * k} + {stay} + case when left(n.role, 1) = '{name[new][0]}' then 0 else 1000000000 end"
+            ways[new].append(struct(p, kept, "I" * k + "K", f"{added}{line} || n.role || ':' || n.text"))
+            ways[new].append(struct(p, f"{3 + 3 * k} + {stay}", "I" * k + "R", f"{added}{line} || '{name[new]}:' || n.text"))
+            if state == 0:
+                system = f"{stay} + case when left(n.role, 1) = 's' then 0 else 1000000000 end"
+                ways[1].append(struct(p, system, "K", " || n.role || ':' || n.text"))
+    steps = ", ".join(f"list_min([{', '.join(w)}]) as s{i}" for i, w in enumerate(ways))
+    never = "{'c': cast(1000000000 as bigint), 'a': '', 'b': ''}"
+    key = "coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')"
+    return rf"""
+with recursive d as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_sql_crc(key)} % 20 as x from conversations),
+t as (
+  select conv_id, turn, case when x = 4 then 'user' else role end as role,
+         case x when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from d, unnest(range(case x when 0 then 0 when 3 then 2 else 1 end))),
+o as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i from t),
+f as (
+  select *, not regexp_matches(text, '[^ 	-]') as blank, row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+         not regexp_matches(text, '[.!?][ 	-]*$') as open,
+         left(lag(role) over (partition by conv_id order by i), 1) || left(role, 1) as pair
+  from o),
+n as (
+  select *, blank or again as gone, open and not blank and not again as cut from f),
+r as (
+  select conv_id, cast(0 as bigint) as i, {{'c': cast(0 as bigint), 'a': '', 'b': ''}} as s0, {never} as s1, {never} as s2, {never} as s3
+  from (select distinct conv_id from conversations)
+  union all
+  select r.conv_id, n.i, {steps} from r join n on n.conv_id is not distinct from r.conv_id and n.i = r.i + 1),
+e as (
+  select conv_id, list_min([s0, s3, {{'c': s2.c + 3, 'a': s2.a || 'I', 'b': s2.b || chr(10) || 'assistant:'}}]) as s
+  from r qualify row_number() over (partition by conv_id order by i desc) = 1),
+k as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+         count(*) filter (again and not blank) as duplicate, count(*) filter (cut) as truncated,
+         count(*) filter (pair not in ('su', 'ua', 'au')) as illegal
+  from n group by conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, s.c as cost, s.a as audit, sha256(s.b) as repaired_sha256
+from e left join k on k.conv_id is not distinct from e.conv_id
+"""
+
+
+@query(_sql_repair())
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage that its rows' checksums decide: its faults and its cheapest repair."""
+    turns = _table(spark, sf_dir, "conversations")
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", shown("conv_id"), shown("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(shown("text"), "[.!?]", "")).otherwise(shown("text"))
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    damaged = turns.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(shown("role")).alias("role"), text.alias("text"), (kind == 0).alias("dropped"), copies.alias("copy")
+    )
+    return repair_conversations(damaged, absent="dropped")
