@@ -9,10 +9,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hrflow.llm.common import Scratch, text_chunks, with_row_key
+from hrflow.llm.common import Scratch, beside_row_key, fresh, text_chunks, with_row_key
 from hrflow.llm.components import connected_components
 
 SEED = 42
@@ -46,11 +46,26 @@ def _fingerprints(width: int):
         for batch in text_chunks(batches):
             values = [fingerprint(t.as_buffer().to_pybytes(), width) for t in batch.column("text")]
             signed = np.array(values, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(signed)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "k1", "k2")), pa.array(signed)], ["doc_id", "k1", "k2", "fp"])
 
     return run
 
 
+def tallies(x: np.ndarray) -> np.ndarray:
+    """How many positional bytes each pair shares; ``x`` holds the exclusive or of its fingerprints."""
+    return (np.ascontiguousarray(x).view(np.uint8).reshape(-1, POSITIONS) == 0).sum(axis=1)
+
+
+def linked(x: np.ndarray, distance: int) -> np.ndarray:
+    """Pairs (as exclusive or) within ``distance`` bits: those that share the guaranteed minimum of bytes are verified.
+
+    Fingerprints at ``distance`` bits differ in at most as many bytes, so the count filter loses none.
+    """
+    near = tallies(x) >= POSITIONS - distance
+    near[near] = np.bitwise_count(x[near]) <= distance
+    return near
+
+
 def _spanning(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Edges that connect what links of at most ``distance`` bits connect: one fewer than members of each class."""
     edges, left = [], np.arange(len(fps))
@@ -60,7 +75,7 @@ def _spanning(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
             found = np.full(len(left), -1)
             for node in front:
                 open_ = found < 0
-                near = open_ & (np.bitwise_count(fps[left] ^ fps[node]) <= distance)
+                near = open_ & linked(fps[left] ^ fps[node], distance)
                 found[near] = node
             hit = found >= 0
             edges += zip(found[hit].tolist(), left[hit].tolist(), strict=True)
@@ -79,7 +94,7 @@ def _links(distance: int):
         starts = np.flatnonzero(np.concatenate(([True], group_ids[1:] != group_ids[:-1])))
         sizes = np.diff(np.append(starts, len(fps)))
         two = starts[sizes == 2]
-        two = two[np.bitwise_count(fps[two] ^ fps[two + 1]) <= distance]
+        two = two[linked(fps[two] ^ fps[two + 1], distance)]
         edges = list(zip(two.tolist(), (two + 1).tolist(), strict=True))
         for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             edges += [(at + i, at + j) for i, j in _spanning(fps[at : at + n], distance)]
@@ -119,34 +134,14 @@ def _index_keys(distance: int, shared: int) -> list[Column]:
     return keys
 
 
-def simhash_components(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    width: int = 3,
-    distance: int = 3,
-    shared: int = 4,
-    block: int = 1024,
-) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the smallest id reachable over links, of each row.
-
-    Texts link if their fingerprints differ in at most ``distance`` (0 to 4) bits.
-
-    Method: equal fingerprints are one entry. The inverted index has one posting list for each combination of ``shared`` positional
-    bytes out of ``shared + distance``, so a pair reaches a common list only after as many matches as the count filter
-    guarantees, and every pair within ``distance`` does. Members of a list are verified on all 64 bits. A list of more than
-    ``block`` entries is dealt into blocks, and each pair of blocks is verified on its own. A verified list gives a
-    spanning forest of its links, never all pairs.
-
-    Null and blank texts have fingerprint zero and link like any other. Null ids are never a component_id unless a
-    component has nothing else. Repeated rows give repeated rows; an empty table gives an empty result.
-    """
+def _members(docs: DataFrame, doc_id: str, text: str, width: int, distance: int, shared: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their fingerprint (doc_id, k1, k2, fp), and the root fingerprint of each fingerprint (fp, root)."""
     if not 0 <= distance <= POSITIONS - shared:
         raise ValueError("distance + shared must not exceed 8")
     scratch = Scratch(docs.sparkSession, "simhash")
-    rows = with_row_key(docs, doc_id, text).select("doc_id", F.col("text").cast("binary").alias("text"))
-    prints = scratch.save(rows.mapInArrow(_fingerprints(width), "doc_id long, fp long"), "fingerprints")
-    entries = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    rows = with_row_key(docs, doc_id, text).select("doc_id", "k1", "k2", F.col("text").cast("binary").alias("text"))
+    prints = scratch.save(rows.mapInArrow(_fingerprints(width), "doc_id long, k1 long, k2 long, fp long"), "fingerprints")
+    entries = prints.select("fp").distinct()
     keyed = entries.select("fp", F.explode(F.array(*_index_keys(distance, shared))).alias("key"))
     lists = keyed.groupBy("key").count().filter("count > 1").select(F.struct("key").alias("k"), "count")
     blocks = F.ceil(F.col("count") / block).cast("long")
@@ -161,8 +156,35 @@ def simhash_components(
     dealt = posted.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "fp")
     links = dealt.mapInArrow(_links(distance), "a long, b long").distinct()
     roots = connected_components(links, scratch)
-    # A root is the smallest fingerprint; the component is named by the smallest document behind its fingerprints.
-    member = entries.join(roots, entries.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    # A root is the smallest fingerprint that is reachable.
+    return prints, entries.join(roots, entries.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_components(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = 3,
+    distance: int = 3,
+    shared: int = 4,
+    block: int = 1024,
+) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the smallest id reachable over links, of each row.
+
+    Texts link if their fingerprints differ in at most ``distance`` (0 to 4) bits.
+
+    Method: equal fingerprints are one entry. A posting list of the inverted index over byte positions stands for ``shared`` bytes
+    at once, out of ``shared + distance`` positions, so pairs with fewer bytes in common never meet. Inside a list the shared
+    bytes of each pair are tallied over all 8 positions, pairs that reach the guaranteed minimum of 8 - ``distance`` are
+    retained and verified on all bits (``linked``). A list of more than ``block`` entries is dealt into blocks, and each
+    pair of blocks is verified on its own. A verified list gives a spanning forest of its links, never all pairs.
+
+    Null and blank texts have fingerprint zero and link like any other. Null ids are never a component_id unless a
+    component has nothing else. Repeated rows give repeated rows; an empty table gives an empty result.
+    """
+    prints, member = _members(docs, doc_id, text, width, distance, shared, block)
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    member = member.join(first, "fp")
     named = member.groupBy("root").agg(F.min("first").alias("component_id"))
     names = member.select("fp", "root").join(named, "root").select(F.struct("fp").alias("k"), "component_id")
     return (
@@ -170,3 +192,20 @@ def simhash_components(
         .join(names, "k")
         .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     )
+
+
+def drop_simhash_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, distance: int = 3, shared: int = 4, block: int = 1024
+) -> DataFrame:
+    """The one row of each component of :func:`simhash_components` that stays, with all its columns.
+
+    It is the row with the smallest id, null ids last, then the smallest hash of its text; of rows that repeat id and text one stays.
+    """
+    prints, member = _members(docs, doc_id, text, width, distance, shared, block)
+    order = F.struct(F.col("doc_id").isNull().alias("gap"), "doc_id", "k1", "k2")
+    first = prints.groupBy("fp").agg(F.min(order).alias("first")).join(member, "fp")
+    stays = first.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
+    rows, stays, key = beside_row_key(docs, stays, doc_id, text)
+    (number,) = fresh(rows, "number")
+    kept = rows.join(stays, key, "left_semi")
+    return kept.withColumn(number, F.row_number().over(Window.partitionBy(*key).orderBy(key[1]))).filter(F.col(number) == 1).select(*docs.columns)

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tests.llm.data import docs, odd_rows, words
 
-from hrflow.llm.simhash_dedup import _index_keys, _links, _spanning, fingerprint, simhash_components
+from hrflow.llm.simhash_dedup import _index_keys, _links, _spanning, drop_simhash_duplicates, fingerprint, linked, simhash_components, tallies
 
 
 def slow_fingerprint(text: str) -> int:
@@ -108,3 +108,38 @@ def test_empty_table_and_nulls(spark):
     assert simhash_components(docs(spark, [])).count() == 0
     got = simhash_components(docs(spark, [(None, None), (None, "")])).collect()
     assert [(r.fingerprint, r.component_id) for r in got] == [("0" * 16, None)] * 2
+
+
+def test_count_filter_drops_pairs_and_loses_none():
+    r = np.random.default_rng(4)
+    a = r.integers(0, 1 << 63, 4000, np.uint64)
+    flips = [sum(1 << int(k) for k in r.choice(64, r.integers(0, 9), replace=False)) for _ in a]
+    x = np.array(flips, np.uint64)
+    bits = np.array([f.bit_count() for f in flips])
+    assert (linked(x, 3) == (bits <= 3)).all()
+    shared = np.array([sum((f >> 8 * p) & 255 == 0 for p in range(8)) for f in flips])
+    assert (tallies(x) == shared).all()
+    assert (shared[bits <= 3] >= 5).all() and (shared < 5).sum() > 100  # what the filter drops before any bit is counted
+
+
+def test_one_row_of_each_component_stays(spark):
+    rows = odd_rows() + [(50 + i, edited(words(9, 200), i * 7)) for i in range(25)] + [(None, words(9, 200))]
+    table = docs(spark, rows)
+    left = drop_simhash_duplicates(table)
+    assert left.columns == table.columns
+    prints = [slow_fingerprint(t or "") for _, t in rows]
+    found = components([(i, "") for i in range(len(rows))], prints)
+    want = {min((rows[j][0] is None, rows[j][0] or 0) for j in range(len(rows)) if found[j] == c) for c in set(found)}
+    got = [(r.doc_id is None, r.doc_id or 0) for r in left.collect()]
+    assert len(got) == len(set(found)) and set(got) == want
+    assert drop_simhash_duplicates(docs(spark, [])).count() == 0
+
+
+def test_rows_made_for_a_group_grow_in_proportion(spark):
+    counts = []
+    for n in (300, 600):
+        base = words(31, 400)
+        rows = [(i, edited(base, i)) for i in range(n)]
+        fps = np.unique(np.array([fingerprint(t.encode()) for _, t in rows], np.uint64))
+        counts.append((len(fps), len(_spanning(fps, 3))))
+    assert all(edges < entries for entries, edges in counts)
