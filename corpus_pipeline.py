@@ -7,13 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hrflow.llm.exact_dedup import drop_exact_duplicates
-from hrflow.llm.near_dedup import drop_near_duplicates
 from hrflow.llm.packing import pack
 from hrflow.llm.repeats import without_repeats
+from hrflow.llm.simhash_dedup import drop_simhash_duplicates
 from hrflow.llm.toxicity import drop_toxic, train_toxicity
 
 #: Documents that score at least this much are rejected.
 TOXIC_FROM = 0.3
+#: Bytes of the shortest passage that is cut: 50 short words.
+PASSAGE = 200
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,13 +30,13 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, similarity 0.8) stays."""
-    return drop_near_duplicates(docs)
+    """One document of each component of fingerprints (three-word shingles) that differ in at most 3 bits stays."""
+    return drop_simhash_duplicates(docs, width=3, distance=3)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes and more that occur again are cut out; all documents stay, with their new length."""
-    return without_repeats(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+    """Passages of ``PASSAGE`` bytes and more that occur again are cut out; all documents stay, with their new length."""
+    return without_repeats(docs, length=PASSAGE, gram=32).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
