@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +42,9 @@ SCRIPTS = [
     (0x20000, 0x2FA1F, "Han"),
 ]
 _FIRST = [a for a, _, _ in SCRIPTS]
+#: Letters, and characters with the value of a number, which are no letters and are taken out where they occur.
 WORD = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 UNKNOWN = "und"
 
 
@@ -50,6 +53,12 @@ def script_of(char: str) -> str:
     return SCRIPTS[at][2] if at >= 0 and ord(char) <= SCRIPTS[at][1] else "other"
 
 
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    found = WORD.findall(text.lower())
+    return found if all(map(str.isalpha, found)) else [part for w in found for part in LETTERS.findall(w)]
+
+
 def grams(word: str, longest: int = 3) -> list[str]:
     """Letter sequences of 1 to ``longest`` of the word between two marks; long words are read in full."""
     marked = f"<{word}>"
@@ -87,29 +96,68 @@ class LanguageModel:
                 total[i, ~np.array(allowed)] = -np.inf
         return np.maximum(total - total.max(axis=1, keepdims=True), -1e3)
 
-    def path(self, scores: np.ndarray) -> np.ndarray:
-        """The best sequence of languages: sum of the words' scores less ``penalty`` for each switch.
+    def paths(self, scores: list[np.ndarray]) -> list[np.ndarray]:
+        """The best sequence of languages of each text: sum of its words' scores less ``penalty`` for each switch.
 
         If no stretch of words gains more than half the penalty in another language than the best single one, that
         language is the answer: n stretches in other languages need n - 1 switches at least, and one if n is 1, which is
-        half a switch a stretch or more. So this test is exact.
+        half a switch a stretch or more. So this test is exact. The other texts go through Viterbi in step.
         """
-        best = int(scores.sum(axis=0).argmax())
-        gain = np.zeros((len(scores) + 1, scores.shape[1]))
-        np.cumsum(scores - scores[:, [best]], axis=0, out=gain[1:])
-        if (gain - np.minimum.accumulate(gain, axis=0)).max() <= self.penalty / 2:
-            return np.full(len(scores), best)
-        rows = scores.tolist()
-        value, back = rows[0], []
-        for row in rows[1:]:
-            top = max(value)
-            floor, at = top - self.penalty, value.index(top)
-            back.append([i if v >= floor else at for i, v in enumerate(value)])
-            value = [(v if v >= floor else floor) + x for v, x in zip(value, row, strict=True)]
-        out = [value.index(max(value))]
-        for step in reversed(back):
-            out.append(step[out[-1]])
-        return np.array(out[::-1])
+        out = [np.zeros(0, np.int64)] * len(scores)
+        open_ = []
+        for i, rows in enumerate(scores):
+            if len(rows):
+                best = int(rows.sum(axis=0).argmax())
+                gain = np.zeros((len(rows) + 1, rows.shape[1]))
+                np.cumsum(rows - rows[:, [best]], axis=0, out=gain[1:])
+                if (gain - np.minimum.accumulate(gain, axis=0)).max() <= self.penalty / 2:
+                    out[i] = np.full(len(rows), best)
+                else:
+                    open_.append(i)
+        open_.sort(key=lambda i: -len(scores[i]))
+        for i, path in zip(open_, viterbi([scores[i] for i in open_], self.penalty), strict=True):
+            out[i] = path
+        return out
+
+
+def viterbi(scores: list[np.ndarray], penalty: float, few: int = 8) -> list[np.ndarray]:
+    """Best paths of texts, longest first. All texts take a step at once; the last ``few`` are finished one by one."""
+    if not scores:
+        return []
+    sizes = np.array([len(x) for x in scores])
+    starts = np.cumsum(sizes) - sizes
+    flat = np.concatenate(scores)
+    langs = np.arange(flat.shape[1], dtype=np.int8)
+    value, back = flat[starts], []
+    steps = int(sizes[few - 1]) if len(sizes) >= few else 1  # until then at least ``few`` texts go on
+    for t in range(1, steps):
+        n = int(np.searchsorted(-sizes, -t, side="left"))  # texts of more than t words
+        v = value[:n]
+        at = v.argmax(axis=1)
+        floor = (v[np.arange(n), at] - penalty)[:, None]
+        stay = v >= floor
+        back.append(np.where(stay, langs, at[:, None].astype(np.int8)))
+        value[:n] = np.where(stay, v, floor) + flat[starts[:n] + t]
+    path = np.zeros(len(flat), np.int64)
+    last = value.argmax(axis=1)
+    for i in np.flatnonzero(sizes > steps).tolist():
+        row, rest = value[i].tolist(), []
+        for scored in flat[starts[i] + steps : starts[i] + sizes[i]].tolist():
+            top = max(row)
+            floor, at = top - penalty, row.index(top)
+            rest.append([k if v >= floor else at for k, v in enumerate(row)])
+            row = [(v if v >= floor else floor) + x for v, x in zip(row, scored, strict=True)]
+        state = row.index(max(row))
+        for t in range(len(rest) - 1, -1, -1):
+            path[starts[i] + steps + t] = state
+            state = rest[t][state]
+        last[i] = state
+    for t in range(steps - 1, -1, -1):
+        n = int(np.searchsorted(-sizes, -t, side="left"))
+        path[starts[:n] + t] = last[:n]
+        if t:
+            last[:n] = back[t - 1][np.arange(n), last[:n]]
+    return [path[a : a + n] for a, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
 
 
 class Reader:
@@ -128,12 +176,12 @@ class Reader:
             self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
             self.scores = np.vstack([self.scores, *(self.model.word_scores(fresh[i : i + 20_000]) for i in range(0, len(fresh), 20_000))])
         at = self.known.__getitem__
-        return [self.model.path(self.scores[np.fromiter(map(at, words), np.int64, len(words))]) if words else np.zeros(0, int) for words in texts]
+        return self.model.paths([self.scores[np.fromiter(map(at, words), np.int64, len(words))] for words in texts])
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """The language with most letters in each text's best path, and its share of them; ties to the first name."""
         langs = self.model.langs
-        words = [WORD.findall(t.lower()) if langs else [] for t in texts]
+        words = [words_of(t) if langs else [] for t in texts]
         out = []
         for found, path in zip(words, self.paths(words), strict=True):
             if not found:
@@ -145,7 +193,7 @@ class Reader:
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """Start, end (in characters) and language of the runs of one language; none without letters."""
-        found = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text)]
+        found = [(m.start(), m.end(), m[0]) for m in LETTERS.finditer(text)]
         if not found or not self.model.langs:
             return []
         path = self.paths([[w.lower() for _, _, w in found]])[0]
@@ -158,7 +206,7 @@ def fit(texts: list[str], langs: list[str], frequent: int = 300) -> LanguageMode
     names = sorted(set(langs))
     words = {lang: Counter() for lang in names}
     for text, lang in zip(texts, langs, strict=True):
-        words[lang].update(WORD.findall(text.lower()))
+        words[lang].update(words_of(text))
     counts = {lang: Counter() for lang in names}
     scripts: dict[str, Counter] = {}
     for lang in names:

@@ -6,7 +6,7 @@ from itertools import product
 import numpy as np
 from tests.llm.data import docs, odd_rows
 
-from hrflow.llm.language_id import LanguageModel, Reader, fit, language_spans, languages, script_of, train_languages
+from hrflow.llm.language_id import LanguageModel, Reader, fit, language_spans, languages, script_of, train_languages, viterbi, words_of
 
 WORDS = {
     "en": "the house and water stone of with that this light".split(),
@@ -40,7 +40,7 @@ def test_path_equals_exhaustive_search():
         scores = np.round(r.normal(0, 2, (6, 3)), 3)
         value = lambda p, s=scores: s[np.arange(6), list(p)].sum() - 2.0 * sum(x != y for x, y in zip(p[:-1], p[1:], strict=True))
         best = max(product(range(3), repeat=6), key=value)
-        assert abs(value(tuple(model.path(scores).tolist())) - value(best)) < 1e-9
+        assert abs(value(tuple(model.paths([scores])[0].tolist())) - value(best)) < 1e-9
 
 
 def test_scripts():
@@ -83,7 +83,7 @@ def test_a_long_text_does_not_crowd_out_the_rest(spark):
 def test_two_languages_with_one_switch():
     model = LanguageModel(["de", "en", "fr"], {}, np.zeros((1, 3)), {}, {})
     scores = np.array([[-3.1, -1.5, 0.0]] * 4 + [[0.0, -1.5, -3.1]] * 4)
-    assert model.path(scores).tolist() == [2] * 4 + [0] * 4
+    assert model.paths([scores])[0].tolist() == [2] * 4 + [0] * 4
     r = np.random.default_rng(1)
     value = lambda p, s: s[np.arange(6), list(p)].sum() - 2.0 * sum(x != y for x, y in zip(p[:-1], p[1:], strict=True))
     model.penalty = 2.0
@@ -91,4 +91,31 @@ def test_two_languages_with_one_switch():
         gap = r.uniform(0.2, 0.9, 6)
         scores = np.stack([np.where(np.arange(6) < 3, 0, -2 * gap), -gap, np.where(np.arange(6) < 3, -2 * gap, 0)], axis=1)
         best = max(product(range(3), repeat=6), key=lambda p, s=scores: value(p, s))
-        assert abs(value(model.path(scores).tolist(), scores) - value(best, scores)) < 1e-9
+        assert abs(value(model.paths([scores])[0].tolist(), scores) - value(best, scores)) < 1e-9
+
+
+def one_by_one(scores: np.ndarray, penalty: float) -> list[int]:
+    value, back = scores[0].copy(), []
+    for row in scores[1:]:
+        stay = value >= value.max() - penalty
+        back.append(np.where(stay, np.arange(len(value)), value.argmax()))
+        value = np.where(stay, value, value.max() - penalty) + row
+    out = [int(value.argmax())]
+    for step in reversed(back):
+        out.append(int(step[out[-1]]))
+    return out[::-1]
+
+
+def test_texts_in_step_equal_texts_one_by_one():
+    r = np.random.default_rng(7)
+    for few in (1, 3, 8, 100):
+        texts = sorted((r.normal(0, 2, (int(n), 4)).round(1) for n in r.integers(1, 60, 40)), key=lambda x: -len(x))
+        assert [p.tolist() for p in viterbi(texts, 2.0, few)] == [one_by_one(x, 2.0) for x in texts]
+    assert viterbi([], 2.0) == []
+
+
+def test_characters_with_a_number_value_are_no_letters(spark):
+    assert words_of("½ Ⅷ a½b x² ²") == ["a", "b", "x"]
+    model = fit(*map(list, sample()))
+    assert {r.lang_pred for r in languages(docs(spark, [(1, "½ Ⅷ"), (2, "²³ ١٢")]), model).collect()} == {"und"}
+    assert Reader(model).spans("½ Ⅷ") == []
