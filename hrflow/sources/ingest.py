@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hrflow.sources.commits import CommitLog
 from hrflow.sources.documents import read_documents, unfurl, without_field
 from hrflow.sources.flatten import BASE_MODELS
 from hrflow.sources.landing import land, new_run_id, raw_table, rejects, stamp
@@ -114,6 +115,47 @@ def ingest(
     return run
 
 
+def ingest_committed(
+    log: CommitLog,
+    system: str,
+    folder: str,
+    extracted_at: dt.datetime,
+    run_id: str,
+    truncate_first: bool = False,
+    multiline: bool = False,
+) -> int:
+    """Like :func:`ingest` for a commit log: all objects of the run, and its rejects, become visible in one step.
+
+    A run id that is in the log is not read again, so a run may be repeated after a failure at any point. Rejects are only added.
+    """
+
+    def make() -> dict[str, DataFrame]:
+        out: dict[str, DataFrame] = {}
+        for obj, docs in extract_objects(log.spark, system, folder, extracted_at, multiline).items():
+            out[raw_table(system, obj, schema="")] = stamp(docs, system, obj, run_id, BASE_MODELS[obj][0], extracted_at)
+            if "reject" in docs.columns:
+                bad = rejects(docs, system, obj, run_id, extracted_at)
+                out[REJECTS] = out[REJECTS].unionByName(bad) if REJECTS in out else bad
+        return out
+
+    if (done := log.committed(run_id)) is not None:
+        return done
+    tables = make()
+    staged = [e for table, df in tables.items() for e in log.stage(df, table)]
+    return log.commit(run_id, staged, replace_tables=[t for t in tables if t != REJECTS] if truncate_first else ())
+
+
+def committed_tables(log: CommitLog, systems: Sequence[str] = tuple(SYSTEMS), version: int | None = None) -> Mapping[str, DataFrame]:
+    """Source object -> committed rows, all of one version of the log."""
+    version = log.state().version if version is None else version
+    return {
+        obj: log.read(raw_table(system, obj, schema=""), version)
+        for system in systems
+        for e in SYSTEMS[system]
+        for obj in (e.obj, *([e.nested.obj] if e.nested else []))
+    }
+
+
 def rejected(spark: SparkSession, raw_folder: str) -> DataFrame:
     """Number of rejects of each run and source object."""
     return spark.read.parquet(f"{raw_folder}/{REJECTS}").groupBy("_run_id", "_source_system", "_source_object").count()

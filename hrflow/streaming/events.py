@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hrflow.operators.dedupe import latest
 from hrflow.operators.reconcile import reconcile
+from hrflow.sources.commits import CommitLog
 
 
 def read_events(
@@ -57,6 +58,20 @@ def land_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
+def land_committed(events: DataFrame, log: CommitLog, table: str, checkpoint: str, stream: str) -> StreamingQuery:
+    """Like :func:`land_events` for a commit log: a batch is a run of its own, named by ``stream`` and its number.
+
+    A batch that is replayed after a failure finds its run in the log and lands nothing twice.
+    """
+
+    def batch(rows: DataFrame, number: int) -> None:
+        log.run(f"{stream}-{number}", lambda: {table: rows})
+
+    return (
+        events.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
 def reconcile_events(full_extract: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Event ids that only the full extract or only the landed stream has."""
     return reconcile(full_extract, landed, keys)

@@ -13,10 +13,18 @@ from hrflow.operators.storage import materialize, shared_folder
 from hrflow.plans import core
 from hrflow.plans.reports import q11
 from hrflow.sources import landing
+from hrflow.sources.commits import CommitLog
 from hrflow.sources.documents import as_documents, field_text, unfurl
 from hrflow.sources.ingest import REJECTS, ingest, raw_tables
 from hrflow.sources.flatten import base_model, json_field, json_field_cast, json_field_try_cast
-from hrflow.streaming.events import check_deliveries, first_deliveries, land_events, read_events, reconcile_events
+from hrflow.streaming.events import (
+    check_deliveries,
+    first_deliveries,
+    land_committed,
+    land_events,
+    read_events,
+    reconcile_events,
+)
 from workload.checks import check, key
 from workload.registry import query
 from workload.views import AS_OF, table
@@ -532,3 +540,62 @@ def _materialized(t, spark, sf):
     landing.land_table(stored, f"{name}_twice")
     landing.land_table(stored, f"{name}_twice")
     return spark.table(f"{name}_twice").groupBy("o_orderpriority", "o_orderstatus").agg(F.sum("n").alias("n"))
+
+
+def _extract(spark, sf, run, at, broken=False, keep="true"):
+    """Customers and orders of one run; a broken run dies after the first object has been staged."""
+
+    def make():
+        c = table(spark, sf, "customer").where(keep).select(F.concat(F.lit("C"), "c_custkey").alias("id"), F.col("c_mktsegment").alias("kind"))
+        o = table(spark, sf, "orders").select(F.concat(F.lit("O"), "o_orderkey").alias("id"), F.col("o_orderstatus").alias("kind"))
+        stamped = {n: landing.stamp(df, "crm", n, run, "id", at) for n, df in (("customers", c), ("orders", o))}
+        if broken:
+            fail = F.raise_error(F.lit("broken run")).cast("string")
+            stamped["orders"] = stamped["orders"].withColumn("raw_payload", fail)
+        return stamped
+
+    return make
+
+
+@query(
+    "ingest_rerun",
+    """with r(run, later) as (values ('run-2', false), ('run-3', true))
+       select 'customers' as _source_object, run as _run_id, 'C' || c_custkey as _source_record_id, c_mktsegment as kind
+       from customer, r where not later or c_acctbal > 0
+       union all
+       select 'orders', run, 'O' || o_orderkey, o_orderstatus from orders, r""",
+)
+def _rerun(t, spark, sf):
+    """Runs that break between objects, that break while they replace, and that are repeated: each lands once or not at all."""
+    log = CommitLog(spark, f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}")
+    later = "c_acctbal > 0"
+
+    def attempt(run, at, truncate_first=False, **how):
+        try:
+            log.run(run, _extract(spark, sf, run, at, **how), truncate_first)
+        except Exception as error:
+            if "broken run" not in str(error):
+                raise
+
+    attempt("run-1", RUN_1, broken=True)
+    attempt("run-1", RUN_1)
+    attempt("run-1", RUN_1)  # committed already
+    attempt("run-2", RUN_2, truncate_first=True, broken=True)
+    attempt("run-2", RUN_2, truncate_first=True)
+    attempt("run-2", RUN_2, truncate_first=True)
+    attempt("run-3", RUN_2, keep=later, broken=True)
+    attempt("run-3", RUN_2, keep=later)
+    rows = log.read("customers").unionByName(log.read("orders"))
+    return rows.select("_source_object", "_run_id", "_source_record_id", F.get_json_object("raw_payload", "$.kind").alias("kind"))
+
+
+@query("stream_committed", "select event_id, ts, user_id, event_type, value, props, 2 as deliveries from events")
+def _stream_committed(t, spark, sf):
+    """Batches of the stream as runs of the log; a second stream with the same name replays them all and adds nothing."""
+    path = _delivered(spark, sf)
+    schema = spark.read.parquet(path).schema
+    log = CommitLog(spark, f"{path}-log")
+    for attempt in (1, 2):
+        events = read_events(spark, path, schema, max_files=1)
+        land_committed(events, log, "events", f"{path}-checkpoint-{attempt}", "events").awaitTermination()
+    return log.read("events").groupBy(*schema.names).agg(F.count(F.lit(1)).cast("int").alias("deliveries"))
