@@ -140,3 +140,54 @@ def test_nothing_to_restate(spark, tmp_path):
     publish_daily(log, "mart", by_day(same_rows), "snapshot_date", "v1")
     assert restate_months(log, "mart", lambda a, b: None, [], "snapshot_date", [], "v2", LATER, "none") == 2
     same(by_day(same_rows), read_daily(log, "mart"))
+
+
+def moment(text):
+    return dt.datetime.fromisoformat(text)
+
+
+def test_replay_orders_versions_and_deletions(spark):
+    v = [(1, "2024-01-01", "a"), (1, "2024-01-05", "b"), (1, "2024-01-05 12:00:00", "c"), (2, "2024-01-01", "x"), (3, "2024-02-01", "y"), (None, "2024-01-01", "n")]
+    e = [(1, "2024-01-03"), (1, "2024-01-04"), (2, "2024-01-01"), (3, "2024-01-15"), (9, "2024-01-01"), (None, "2024-03-01")]
+    versions = spark.createDataFrame([(i, moment(t), x) for i, t, x in v], "id long, at timestamp, name string")
+    events = spark.createDataFrame([(i, moment(t)) for i, t in e], "id long, at timestamp")
+    from hrflow.operators.supersede import deletions, mark_inactive, replay
+
+    found = replay(versions, events, ["id"], "at")
+    got = {r.name: (str(r.valid_to) if r.valid_to else None, r.closed_by, r.is_active) for r in found.collect()}
+    assert got["a"] == ("2024-01-03 00:00:00", "deletion", False) and got["b"] == ("2024-01-05 12:00:00", "version", False)
+    assert got["c"] == (None, None, True) == got["y"] and got["x"] == ("2024-01-01 00:00:00", "deletion", False) and len(got) == 6
+    dim = spark.createDataFrame([(1, "k"), (2, "k"), (3, "k"), (7, "k")], "id long, more string")
+    marked = {r.id: (r.is_active, r.inactive_since) for r in mark_inactive(dim, found, ["id"]).collect()}
+    assert marked == {1: (True, None), 2: (False, moment("2024-01-01")), 3: (True, None), 7: (True, None)}
+    gone = deletions(versions, versions.where("id = 1"), ["id"], NOW, "at").collect()
+    assert sorted((str(r.id), r["at"]) for r in gone) == [("2", NOW), ("3", NOW), ("None", NOW)]
+
+
+def test_erasure_rewrites_only_files_that_may_hold_the_person(spark, tmp_path):
+    from hrflow.operators.file_index import erase_in_files, files_that_may_hold, index_files
+
+    log = CommitLog(spark, str(tmp_path))
+    rows = spark.range(3000).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("person"), F.lit("clear").alias("name"))
+    nobody = spark.createDataFrame([(None, "clear")], "person string, name string")
+    log.run("a", lambda: {"t": rows.repartition(12, "person")})
+    log.run("b", lambda: {"t": nobody})
+    index_files(log, "t", lambda: F.col("person"), "index-1")
+    wanted = spark.createDataFrame([("P5",), ("P1234",), ("unknown",), (None,)], "person string")
+    files = lambda: {p for p in log.read("t").inputFiles()}
+    before = files()
+    holding = {r[0] for r in log.read("t").where("person in ('P5', 'P1234')").select("_metadata.file_path").distinct().collect()}
+    admitted = files_that_may_hold(log.read("t__files"), wanted, "person")
+    assert all(any(h.endswith(a) for a in admitted) for h in holding) and len(admitted) <= len(holding) + 2 < len(before)
+    name = F.when(F.col("person").isin("P5", "P1234"), "erased").otherwise(F.col("name"))
+    version, gone = erase_in_files(log, "t", wanted, "person", lambda df: df.withColumn("name", name), "erase")
+    assert gone == admitted and len(before - files()) == len(gone)
+    same(rows.unionByName(nobody).withColumn("name", name), log.read("t"))
+    assert erase_in_files(log, "t", wanted, "person", lambda df: df, "erase") == (version, [])
+    log.run("c", lambda: {"t": rows.where("person = 'P5'")})  # landed again, in no index yet
+    erase_in_files(log, "t", wanted, "person", lambda df: df.withColumn("name", name), "erase-2")
+    assert log.read("t").where("person = 'P5' and name = 'clear'").count() == 0
+    index_files(log, "t", lambda: F.col("person"), "index-2")
+    log.sweep(keep_versions=1, older_than_ms=-1)
+    assert spark.read.parquet(f"{tmp_path}/data/t/*").where("person = 'P1234' and name = 'clear'").count() == 0
+    assert log.read("t").count() == 3002

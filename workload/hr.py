@@ -409,23 +409,22 @@ def _span_stats(t, spark, sf):
     "survivor_resolution",
     """with recursive m as (
            select 'P' || cast(c_custkey as varchar) as merged_key,
-                  'P' || cast(cast(floor(c_custkey / 3) as bigint) as varchar) as survivor_key
-           from customer where c_acctbal < 5000 and c_custkey > 0),
+                  case when c_acctbal < 5000 and c_custkey > 0
+                       then 'P' || cast(cast(floor(c_custkey / 3) as bigint) as varchar) end as survivor_key
+           from customer),
        walk as (
-           select merged_key, survivor_key, 1 as n from m
+           select merged_key, survivor_key, 1 as n from m where survivor_key is not null
            union all
-           select w.merged_key, m.survivor_key, w.n + 1 from walk w join m on m.merged_key = w.survivor_key)
-       select merged_key, arg_max(survivor_key, n) as survivor_key from walk group by 1""",
+           select w.merged_key, m.survivor_key, w.n + 1 from walk w join m on m.merged_key = w.survivor_key
+           where m.survivor_key is not null)
+       select m.merged_key, arg_max(w.survivor_key, w.n) as survivor_key from m left join walk w using (merged_key) group by 1""",
 )
 def _survivors(t, spark, sf):
-    """Persons merged into an earlier person, followed to the survivor."""
-    c = table(spark, sf, "customer").where("c_acctbal < 5000 and c_custkey > 0")
+    """All persons, followed to the survivor; those that were merged into nobody have none and end the chains."""
     person = lambda k: F.concat(F.lit("P"), k.cast("bigint").cast("string"))
+    merged = F.when((F.col("c_acctbal") < 5000) & (F.col("c_custkey") > 0), person(F.floor(F.col("c_custkey") / 3)))
     return resolve_survivors(
-        c.select(
-            person(F.col("c_custkey")).alias("merged_key"),
-            person(F.floor(F.col("c_custkey") / 3)).alias("survivor_key"),
-        )
+        table(spark, sf, "customer").select(person(F.col("c_custkey")).alias("merged_key"), merged.alias("survivor_key"))
     )
 
 
