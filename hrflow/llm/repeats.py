@@ -294,11 +294,11 @@ def _removed(docs: DataFrame, length: int, gram: int, large: int) -> DataFrame:
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 64, large: int = 8192
 ) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row: bytes of repeats of ``length`` bytes or more go.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept_text of every row: bytes of repeats of ``length`` bytes or more go.
 
     A byte goes if a string of ``length`` bytes that also starts at another place, in the same text or another,
     covers it. Texts are UTF-8 bytes, a null text is empty; matches do not cross texts, overlaps count, and the
-    judgement is on the input.
+    judgement is on the input. ``kept_text`` is what is left; a character that is cut in part goes in whole there.
 
     Method: every string of ``length`` bytes names an anchor in it (the gram of ``gram`` bytes with the smallest hash), so two
     places of one string share an anchor. Anchors that occur once are dropped. Those with equal surroundings are settled together;
@@ -310,8 +310,8 @@ def remove_repeats(
     gives an empty result.
     """
     rows = with_row_key(docs, doc_id, text)
-    changed = _removed(rows, length, gram, large).drop("kept_text")
-    return rows.withColumns({"n_bytes": F.octet_length("text").cast("long"), "whole": F.sha2("text", 256)}).drop("text").join(
+    changed = _removed(rows, length, gram, large)
+    return rows.withColumns({"n_bytes": F.octet_length("text").cast("long"), "whole": F.sha2("text", 256)}).join(
         changed, ["k1", "k2"], "left"
     ).select(
         "doc_id",
@@ -319,6 +319,7 @@ def remove_repeats(
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
+        F.coalesce("kept_text", "text").alias("kept_text"),
     )
 
 
