@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from hrflow.functions import surrogate_key
 from hrflow.operators import identity, privacy, quality, reconcile
 from hrflow.operators.snapshot import daily_totals
-from hrflow.plans.contracts import CORE_CONTRACTS, contract_report
 from hrflow.plans.core import LINEAGE
 from hrflow.sources import landing
 from workload.checks import check, key
@@ -250,89 +249,6 @@ def _report(t, spark, sf):
     )
 
 
-def _not_null_sql(model: str, severity: str, table: str, *columns: str) -> str:
-    return " union all ".join(
-        f"""select '{model}' as model, 'not_null' as check_name, '{c}' as column_name, '{severity}' as severity,
-                   count(*) filter ({c} is null) as failures, case when failures = 0 then 'pass' else 'fail' end as status
-            from {table}"""
-        for c in columns
-    )
-
-
-def _count_sql(model: str, check_name: str, column: str, severity: str, count: str) -> str:
-    return f"""select '{model}', '{check_name}', '{column}', '{severity}', n, case when n = 0 then 'pass' else 'fail' end
-               from (select ({count}) as n)"""
-
-
-@query(
-    "dq_contracts",
-    check(
-        " union all ".join(
-            [
-                _not_null_sql(
-                    "fact_application_stage_history",
-                    "important",
-                    "stages",
-                    "to_stage",
-                    "transitioned_at",
-                ),
-                _not_null_sql(
-                    "mart_recruiting_funnel_daily", "important", "mart_funnel", "event_date", "department", "function_name"
-                ),
-                _count_sql(
-                    "mart_recruiting_funnel_daily",
-                    "unique",
-                    "event_date|department|function_name",
-                    "important",
-                    "select count(*) from (select 1 from mart_funnel where department is not null group by event_date, department, function_name having count(*) > 1)",
-                ),
-                *[
-                    # Hash keys are never null.
-                    _count_sql("fact_application_stage_history", "not_null", c, "important", "select 0")
-                    for c in ("stage_history_key", "application_key", "candidate_key", "requisition_key")
-                ],
-                _count_sql(
-                    "fact_application_stage_history",
-                    "unique",
-                    "stage_history_key",
-                    "important",
-                    "select count(*) from (select 1 from stages group by stage_event_id having count(*) > 1)",
-                ),
-                _count_sql(
-                    "fact_application_stage_history",
-                    "relationships",
-                    "application_key",
-                    "important",
-                    "select count(*) from stages where application_id not in (select application_id from apps)",
-                ),
-                *[
-                    _count_sql("dim_job_requisition", kind, c, "important", sql)
-                    for kind, c, sql in (
-                        ("not_null", "requisition_key", "select 0"),
-                        ("not_null", "requisition_id", "select count(*) from jobs where requisition_id is null"),
-                        ("not_null", "opened_at", "select count(*) from jobs where opened_at is null"),
-                        *[
-                            ("unique", c, "select count(*) - count(distinct requisition_id) from jobs")
-                            for c in ("requisition_key", "requisition_id")
-                        ],
-                        (
-                            "accepted_values",
-                            "status",
-                            "select count(distinct status) from jobs where status not in ('open', 'filled', 'closed_unfilled')",
-                        ),
-                    )
-                ],
-            ]
-        )
-    ),
-)
-def _contracts(t, spark, sf):
-    """Declared checks of a dimension, a fact and a mart."""
-    return contract_report(
-        t, CORE_CONTRACTS, ["dim_job_requisition", "fact_application_stage_history", "mart_recruiting_funnel_daily"]
-    )
-
-
 # -- privacy ---------------------------------------------------------------------------------------
 
 
