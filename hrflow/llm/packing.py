@@ -115,23 +115,22 @@ def _pieces(spec: str, size: int, end_id: int):
     return run
 
 
-def patterns(size: int, present: np.ndarray, most: int = 400_000) -> np.ndarray:
+def patterns(size: int, present: np.ndarray) -> np.ndarray:
     """Sets of one to three lengths (zeros fill up) that occur and fill a sequence to at least ``size`` - slack tokens.
 
     Pairs and triples of lengths that sum to exactly ``size`` come first, then with growing slack until every occurring
-    length has a pattern. If there were more than ``most`` triples, their smallest length is taken on a coarser grid.
+    length has a pattern. Their number depends on ``size`` alone: at most size ** 2 / 12 triples.
     """
     have = np.zeros(size + 1, bool)
     have[present] = True
     rows = [np.stack([present, np.zeros_like(present), np.zeros_like(present)], axis=1)[present == size]]
-    grid = max(1, int(len(present) ** 2 / 6 / most) + 1)
     for slack in (0, 1, 2, 4, 8):
         total = size - slack
         pairs = present[(present <= total - present) & (total - present >= 1)]
         pairs = pairs[have[total - pairs]]
         rows.append(np.stack([total - pairs, pairs, np.zeros_like(pairs)], axis=1))
         if slack == 0:
-            for c in present[::grid]:
+            for c in present:
                 b = present[(present >= c) & (present <= (total - c) // 2)]
                 a = total - c - b
                 b, a = b[have[a]], a[have[a]]

@@ -66,6 +66,19 @@ def test_lengths_that_no_pattern_fills():
     assert plan(np.zeros(101, np.int64), 100) == []
 
 
+def test_no_triple_is_left_out_where_all_lengths_occur():
+    rows = patterns(2048, np.arange(1, 2049))
+    triples = rows[rows.all(axis=1)]
+    want = sum((2048 - c) // 2 - c + 1 for c in range(1, 683))  # a >= b >= c of sum 2048, counted by c
+    assert len(np.unique(triples, axis=0)) == len(triples) == want == 349_525
+    assert (triples.sum(axis=1) == 2048).all()
+    counts = np.full(2049, 3)
+    counts[0] = 0
+    packed = plan(counts, 2048)
+    assert sum(t * len(v) for v, t in packed) == 3 * 2048 and all(sum(v) <= 2048 for v, _ in packed)
+    assert sum(t for _, t in packed) <= 1.01 * 3 * sum(range(2049)) / 2048
+
+
 @pytest.mark.parametrize(("size", "bucket"), [(2048, 50_000), (16, 7)])
 def test_tables(spark, spec, size, bucket):
     rows = odd_rows()
