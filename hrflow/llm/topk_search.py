@@ -26,8 +26,20 @@ def scaled(df: DataFrame, vec_id: str, vector: str, scale: float) -> DataFrame:
     )
 
 
+def _rows(df: DataFrame, most: int | None = None) -> DataFrame:
+    """``vec_id``, ``v`` and ``nth``, which counts equal rows from 1; trailing zeros of ``v`` go, so vectors equal when filled up are equal.
+
+    Rows are counted before they are numbered, so a row that a third of all rows repeat is one row a task in the shuffle.
+    """
+    last = F.array_position(F.reverse(F.transform("v", lambda c: c != 0)), True)
+    short = F.slice("v", 1, F.when(last > 0, F.size("v") - last + 1).otherwise(0).cast("int"))
+    counted = df.select("vec_id", short.alias("v")).groupBy("vec_id", "v").count()
+    copies = F.col("count") if most is None else F.least("count", F.lit(most))
+    return counted.select("vec_id", "v", F.explode(F.sequence(F.lit(1).cast("long"), copies.cast("long"))).alias("nth"))
+
+
 def _packed(size: int):
-    """Blocks of up to ``size`` vectors as one row: ids and components as binary. Shorter vectors are filled up with zeros."""
+    """Blocks of up to ``size`` vectors as one row: ids, numbers of copies and components as binary, filled up with zeros."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,6 +54,7 @@ def _packed(size: int):
                     {
                         "dims": pa.array([matrix.shape[1]]),
                         "ids": pa.array([part.column("vec_id").to_numpy().tobytes()], pa.binary()),
+                        "nth": pa.array([part.column("nth").to_numpy().tobytes()], pa.binary()),
                         "vectors": pa.array([matrix.astype(np.int32 if small else np.int64).tobytes()], pa.binary()),
                     }
                 )
@@ -84,8 +97,8 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 class _Best:
     """The k best candidates so far of each query of a block."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, nth: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.nth, self.vectors, self.k = ids, nth, vectors, k
         self.score = np.full((len(ids), 0), 0, np.int64)
         self.found = np.full((len(ids), 0), 0, np.int64)
         self.valid = np.zeros((len(ids), 0), bool)
@@ -103,7 +116,15 @@ class _Best:
             return np.full(len(self.ids), -np.inf)
         return np.where(self.valid[:, -1], self.score[:, -1], -np.inf)
 
-    def search(self, ids: np.ndarray, x: np.ndarray, resolutions: tuple[int, ...]) -> None:
+    def _others(self, ids: np.ndarray, nth: np.ndarray, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """False where a candidate is the query's own row: id, vector and number among equal rows agree."""
+        other = np.ones((len(self.ids), len(ids)), bool)
+        same = (self.ids[:, None] == ids) & (self.nth[:, None] == nth)
+        for i, j in zip(*np.nonzero(same), strict=True):
+            other[i, j] = not np.array_equal(q[i], x[j])
+        return other
+
+    def search(self, ids: np.ndarray, nth: np.ndarray, x: np.ndarray, resolutions: tuple[int, ...]) -> None:
         q = self.vectors
         dims = max(q.shape[1], x.shape[1])
         q, x = _widened(q, dims), _widened(x, dims)
@@ -117,33 +138,39 @@ class _Best:
         if len(columns):
             score = _scores(q, x[columns])
             found = np.broadcast_to(ids[columns], score.shape)
-            self.offer(score, found, (found != self.ids[:, None]) & (score >= floor[:, None]))
+            self.offer(score, found, self._others(ids[columns], nth[columns], q, x[columns]) & (score >= floor[:, None]))
 
     def rows(self) -> pa.RecordBatch:
         at, rank = np.nonzero(self.valid)
         return pa.RecordBatch.from_arrays(
-            [pa.array(self.ids[at]), pa.array(self.found[at, rank]), pa.array(self.score[at, rank])], ["query_id", "vec_id", "score"]
+            [pa.array(self.ids[at]), pa.array(at), pa.array(self.found[at, rank]), pa.array(self.score[at, rank])],
+            ["query_id", "place", "vec_id", "score"],
         )
 
 
 def _search(k: int, resolutions: tuple[int, ...], step: int):
     """Keeps the best of one query block over all candidate blocks of the task; rows are sorted by query block."""
 
+    def rows(block: int, best: _Best) -> pa.RecordBatch:
+        found = best.rows()
+        return found.add_column(0, "block", pa.array([block] * found.num_rows, pa.int64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, best = None, None
         for batch in batches:
             for row in batch.to_pylist():
                 if row["block"] != block:
                     if best is not None:
-                        yield best.rows()
+                        yield rows(block, best)
                     ids = np.frombuffer(row["q_ids"], np.int64)
-                    block, best = row["block"], _Best(ids, _matrix(ids, row["q_vectors"], row["q_dims"]), k)
-                ids = np.frombuffer(row["ids"], np.int64)
+                    q = _matrix(ids, row["q_vectors"], row["q_dims"])
+                    block, best = row["block"], _Best(ids, np.frombuffer(row["q_nth"], np.int64), q, k)
+                ids, nth = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["nth"], np.int64)
                 x = _matrix(ids, row["vectors"], row["dims"])
                 for at in range(0, len(ids), step):
-                    best.search(ids[at : at + step], x[at : at + step], resolutions)
+                    best.search(ids[at : at + step], nth[at : at + step], x[at : at + step], resolutions)
         if best is not None:
-            yield best.rows()
+            yield rows(block, best)
 
     return run
 
@@ -161,38 +188,40 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` rows of ``vectors`` with the largest integer inner product for each query.
 
-    Components count as floor(scale * x). Ties go to the smaller vec_id; a query is not its own candidate; with fewer
-    than ``k`` candidates all are returned.
+    Components count as floor(scale * x). Ties go to the smaller vec_id; a query is not its own candidate (id, vector and, among
+    equal rows, the copy are its own); with fewer than ``k`` candidates all are returned.
 
     Method: both sides are packed into blocks of rows, and every block of queries meets every block of candidates. In a task, means and
     deviations of 1, 4 and 16 segments bound the inner products from above, coarse to fine; only candidates
     whose bound reaches some query's k-th best score so far are scored exactly. A task's rows are k for each query
     it saw, whatever the number of candidates.
 
-    Vectors that are null or hold null, NaN or infinite components take no part, nor do rows without an id. Of rows that
-    share an id the smallest vector counts. Shorter vectors count as filled up with zeros. Empty tables give an empty result.
+    Vectors that are null or hold null, NaN or infinite components take no part, nor do rows without an id. Every row
+    counts, also where rows share an id: each is a candidate, and as a query each has its own ranks under that id. Of equal rows
+    k + 1 are compared, as more cannot be among the first k. Shorter vectors count as filled up with zeros. Empty tables
+    give an empty result.
     """
     scratch = Scratch(vectors.sparkSession, "top-k")
 
-    def side(df: DataFrame, size: int, name: str) -> DataFrame:
-        rows = scaled(df, vec_id, vector, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
-        packed = rows.mapInArrow(_packed(size), "dims long, ids binary, vectors binary")
+    def side(df: DataFrame, size: int, name: str, most: int | None = None) -> DataFrame:
+        rows = _rows(scaled(df, vec_id, vector, scale), most)
+        packed = rows.mapInArrow(_packed(size), "dims long, ids binary, nth binary, vectors binary")
         return scratch.save(packed, name)
 
-    right = side(vectors, block, "candidates")
+    right = side(vectors, block, "candidates", k + 1)
     left = side(queries, query_block, "queries").withColumn("block", F.monotonically_increasing_id())
-    left = scratch.save(left.withColumnsRenamed({"dims": "q_dims", "ids": "q_ids", "vectors": "q_vectors"}), "query-blocks")
+    left = scratch.save(left.withColumnsRenamed({"dims": "q_dims", "ids": "q_ids", "nth": "q_nth", "vectors": "q_vectors"}), "query-blocks")
     # Candidates are dealt into as many slots as there are tasks for; each slot receives all query blocks once.
     slots = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = right.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)))
     asked = left.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
     met = asked.join(dealt, "slot").sortWithinPartitions("block")
-    found = met.select("block", "q_dims", "q_ids", "q_vectors", "dims", "ids", "vectors").mapInArrow(
-        _search(k, resolutions, 512), "query_id long, vec_id long, score long"
+    found = met.select("block", "q_dims", "q_ids", "q_nth", "q_vectors", "dims", "ids", "nth", "vectors").mapInArrow(
+        _search(k, resolutions, 512), "block long, query_id long, place long, vec_id long, score long"
     )
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
     return (
-        found.groupBy("query_id")
+        found.groupBy("query_id", "block", "place")
         .agg(best.alias("best"))
         .select("query_id", F.posexplode("best").alias("at", "hit"))
         .select("query_id", (F.col("at") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.s")).alias("score"))

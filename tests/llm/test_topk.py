@@ -44,7 +44,23 @@ def test_odd_rows_take_no_part(spark):
     rows += [(6, [2.0]), (7, []), (8, [3.0, 0.0]), (8, [3.0, 0.0]), (9, [1e9, 1e9])]
     got = top_k(table(spark, rows), table(spark, rows)).collect()
     assert {r.query_id for r in got} == {1, 6, 7, 8, 9} and {r.vec_id for r in got} == {1, 6, 7, 8, 9}
-    assert all(r.query_id != r.vec_id for r in got) and len(got) == 5 * 4
+    assert all(r.query_id != r.vec_id for r in got if r.query_id != 8) and len(got) == 6 * 5
+
+
+def test_rows_that_share_an_id_all_count(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 0.0]), (2, [1.0, 1.0])]
+    got = top_k(table(spark, rows), table(spark, rows[:1]), k=3, scale=1.0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == [(0, 1, 1, 3), (0, 2, 1, 2), (0, 3, 2, 1)]
+    got = top_k(table(spark, rows), table(spark, rows[1:3]), k=1, scale=1.0).collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == [(1, 1, 6), (1, 1, 6)]
+
+
+def test_equal_rows_are_each_others_candidates(spark):
+    rows = [(7, [2.0])] * 9 + [(7, [2.0, 0.0]), (8, [1.0])]
+    got = top_k(table(spark, rows), table(spark, rows), k=4, scale=1.0, query_block=3, block=2).collect()
+    assert len(got) == 11 * 4 and {(r.vec_id, r.score) for r in got if r.query_id == 7} == {(7, 4)}
+    got = top_k(table(spark, rows[8:]), table(spark, rows[8:9]), k=4, scale=1.0).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 7, 4), (2, 8, 2)]
 
 
 def test_bounds_hold_at_every_resolution():
