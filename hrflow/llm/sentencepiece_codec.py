@@ -267,7 +267,8 @@ def decode(encoded: DataFrame, model_path: str, doc_id: str = "doc_id", ids: str
 def encoding_digest(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_chars, n_ids, ids_crc32 and whether decoding gives back the text, for every row.
 
-    ``ids_crc32`` is over the ids as little-endian unsigned 32-bit integers. Texts are encoded and decoded whole.
+    ``ids_crc32`` is over the ids as little-endian unsigned 32-bit integers. Texts are encoded and decoded whole. A text that
+    holds U+2581, the model's own sign for a space, decodes to another text, so its ``round_trip`` is false.
     """
     model = _model(model_path)
     schema = "doc_id long, n_chars long, n_ids long, ids_crc32 long, round_trip boolean"
@@ -277,7 +278,7 @@ def encoding_digest(docs: DataFrame, model_path: str, doc_id: str = "doc_id", te
         for batch in text_chunks(batches):
             texts = batch.column("text").to_pylist()
             packed = codec.encode_all(texts)
-            same = [codec.decode(np.frombuffer(p, "<u4")) == t.replace(SPACE, " ") for t, p in zip(texts, packed, strict=True)]
+            same = [codec.decode(np.frombuffer(p, "<u4")) == t for t, p in zip(texts, packed, strict=True)]
             columns = ([len(t) for t in texts], [len(p) // 4 for p in packed], [zlib.crc32(p) for p in packed])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns), pa.array(same, pa.bool_())],

@@ -78,4 +78,6 @@ def test_tables(spark, library):
     assert all(r.round_trip for r in digest)
     crc = lambda t: zlib.crc32(np.array(library.encode(t or ""), "<u4").tobytes())
     assert sorted((str(r.doc_id), r.n_ids, r.ids_crc32) for r in digest) == sorted((str(i), len(library.encode(t or "")), crc(t)) for i, t in rows)
+    strange = encoding_digest(docs(spark, [(1, "a \u2581b"), (2, "a b")]), PATH).collect()
+    assert {r.doc_id: r.round_trip for r in strange} == {1: False, 2: True}
     assert encode(docs(spark, []), PATH).count() == decode(encode(docs(spark, []), PATH), PATH).count() == 0
