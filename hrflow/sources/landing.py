@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hrflow.functions import iso_timestamp
-from hrflow.sources.documents import as_documents, field_text
+from hrflow.sources.documents import canonical_json, field_text, typed_text
 
 METADATA_COLUMNS = (
     "_ingested_at_utc",
@@ -52,18 +52,20 @@ def stamp(
 ) -> DataFrame:
     """Raw rows for documents (``doc map<string,variant>``): eight metadata columns plus the payload with every field.
 
-    Rows of typed columns are taken as documents first. Rejects are left out; :func:`rejects` has them. A missing id becomes
+    Rows of typed columns (no column ``doc``) give the same payload and hash as their documents, without becoming ones. Rejects are left out; :func:`rejects` has them. A missing id becomes
     the empty string, which ``check_not_null(..., empty=True)`` finds. Payload and hash have the keys in order, so
     they do not depend on the column order.
     """
-    if "doc" not in docs.columns:
-        docs = as_documents(docs)
-    keys = F.array_sort(F.map_keys("doc"))
-    ordered = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.col("doc")[k])))
-    text = F.to_json(ordered, {"ignoreNullFields": "false"})
-    flat = docs.where(F.col("doc").isNotNull()).select(
-        field_text(id_field).alias("_id"),
-        (field_text(updated_field) if updated_field else F.lit(None).cast("string")).alias("_updated"),
+    if "doc" in docs.columns:
+        docs = docs.where(F.col("doc").isNotNull())
+        keys = F.array_sort(F.map_keys("doc"))
+        ordered = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.col("doc")[k])))
+        text, field = F.to_json(ordered, {"ignoreNullFields": "false"}), field_text
+    else:
+        text, field = canonical_json(docs.schema), lambda name: typed_text(docs.schema, name)
+    flat = docs.select(
+        field(id_field).alias("_id"),
+        (field(updated_field) if updated_field else F.lit(None).cast("string")).alias("_updated"),
         text.alias("raw_payload"),
     )
     return flat.select(

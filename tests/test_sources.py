@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from hrflow.operators.dedupe import latest, latest_record
 from hrflow.operators.storage import cut_lineage, materialize, shared_folder
 from hrflow.sources import landing
-from hrflow.sources.documents import field_text, read_documents, unfurl
+from hrflow.sources.documents import as_documents, field_text, read_documents, unfurl
 from hrflow.sources.flatten import BASE_MODELS, SOURCE_OBJECTS, base_model
 from tests.helpers import plan, rows
 
@@ -94,6 +95,47 @@ def test_read_and_unfurl(spark, tmp_path, lines):
     ]
 
 
+TYPED = """id string, n bigint, small int, ok boolean, day date, at timestamp, raw binary, x double, money decimal(15,2), `a.b` string,
+    nested struct<z:string,a:int,m:struct<y:date,b:string>>, list array<struct<k:string,a:bigint>>, words array<string>,
+    prices array<double>, pairs map<string,string>, source_updated_at string"""
+
+
+def typed(spark):
+    day, at = dt.date(2024, 2, 29), dt.datetime(2024, 1, 1, 9, 30, 0, 120000)
+    nested, items = ("q", 1, (day, None)), [("k", 5), None, (None, None)]
+    odd = 'tab\t "quoted" \\ / \u00e9 \u2028 \x01 \U0001f600 </a>'
+    return spark.createDataFrame(
+        [
+            ("a", 5, 1, True, day, at, b"\x00x", 100.0, Decimal("12.50"), "p", nested, items, ["b", None, "a"], [1.0, 0.1], {"z": "1", "a": "2"}, "2024-01-01T00:00:00Z"),
+            (odd, -(2**63), 0, False, day, at, b"", 1e300, Decimal("100.00"), odd, (None, None, None), [], [], [], {}, "x"),
+            ("nan", 0, 0, None, None, None, None, float("nan"), Decimal("0.00"), "", None, None, [odd], None, None, ""),
+            (None,) * 16,
+        ],
+        TYPED,
+    )
+
+
+@pytest.mark.parametrize("id_col", ["id", "n", "ok", "day", "x", "money", "a.b", "nested", "missing"])
+def test_typed_rows_land_as_their_documents(spark, id_col):
+    df = typed(spark)
+    fast, slow = stamp(df, id_col=id_col), stamp(as_documents(df), id_col=id_col)
+    assert rows(fast) == rows(slow) and fast.schema.simpleString() == slow.schema.simpleString()
+    assert "parse_json" not in plan(stamp(df.select("id", "n", "nested", "list", "source_updated_at")))
+
+
+def test_typed_rows_unfurl_as_their_documents(spark):
+    df = typed(spark)
+    args = ("list", ["id", "n", "a.b", "a"], ("child", ["id", "k", "a", "none"]))
+    fast, slow = unfurl(df, *args), unfurl(as_documents(df), *args)
+    for own, other in zip(fast, slow, strict=True):
+        assert rows(stamp(own, id_col="child").select("_source_record_id", "raw_payload")) == rows(
+            stamp(other, id_col="child").select("_source_record_id", "raw_payload")
+        )
+    assert dict(fast[1].dtypes) == {"id": "string", "n": "bigint", "a.b": "string", "k": "string", "a": "bigint", "child": "string", "source_updated_at": "string"}
+    timed = unfurl(df, "list", ["id"], ("child", ["k"]), F.lit("now"))[1]
+    assert {r.source_updated_at for r in timed.collect()} == {"now"}
+
+
 def test_bad_lines_are_kept_as_rejects(spark, tmp_path):
     bad = ['{"a": 1', '{"a": 1} xyz', '{"a": 1}{"b": 2}', '{"a": 1}, {"b": 2}', "[1]", "null", '"x"', "[", "{"]
     (tmp_path / "x.json").write_text("\n".join(['{"id": "1"}', *bad, "  ", '{"id": "2"}', "{}"]))

@@ -193,15 +193,14 @@ def _flatten_fields(t, spark, sf):
 )
 def _unfurl(t, spark, sf):
     """Stage events out of nested application documents; documents without a history have none."""
-    docs = as_documents(application_documents(spark, sf))
     _, children = unfurl(
-        docs,
+        application_documents(spark, sf),
         "stage_history",
         ["application_id", "candidate_id", "requisition_id"],
         ("stage_event_id", ["application_id", "transitioned_at", "to_stage"]),
     )
     fields = "stage_event_id application_id candidate_id requisition_id from_stage to_stage transitioned_at source_updated_at"
-    return children.select(*[_field(f) for f in fields.split()])
+    return children.select(*fields.split())
 
 
 def _field(name: str):
