@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hrflow.functions import surrogate_key
+from hrflow.operators.components import components
+from hrflow.operators.storage import cut_lineage
 
 REGISTRY_KEYS = ("source_system", "source_object", "source_record_id")
 
@@ -48,13 +50,19 @@ def normalised_email(email: Column) -> Column:
     return F.nullif(F.lower(F.trim(email)), F.lit(""))
 
 
+def normalised_number(number: Column) -> Column:
+    return normalised_email(number.cast("string"))
+
+
 def match_identities(
-    incoming: DataFrame, registry: DataFrame, emails: DataFrame, hire_links: DataFrame
+    incoming: DataFrame, registry: DataFrame, emails: DataFrame, hire_links: DataFrame, numbers: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Deterministic match cascade: known mapping, e-mail, explicit hire link, otherwise a new person.
+    """Deterministic match cascade: known mapping, e-mail, employee number, explicit hire link, otherwise a new person.
 
-    ``incoming`` has the registry keys plus ``email``; ``emails`` has (email, person_key) and
-    ``hire_links`` has (source_record_id, person_key). A step that points at more than one person is not
+    ``incoming`` has the registry keys plus ``email``, and ``employee_number`` where both systems show it;
+    ``emails`` has (email, person_key), ``numbers`` (employee_number, person_key) and
+    ``hire_links`` (source_record_id, person_key). Numbers are compared like e-mails, without outer blanks and
+    case; without ``numbers`` or the column that step is left out. A step that points at more than one person is not
     used to guess: the record goes to the second result, the review cases.
 
     Each candidate list is first reduced to one row per lookup value with the least and greatest person,
@@ -81,11 +89,16 @@ def match_identities(
         .join(by_email, "_email", "left")
         .join(by_link, "source_record_id", "left")
     )
+    if numbers is not None and "employee_number" in incoming.columns:
+        steps.insert(2, "number")
+        given = numbers.select(normalised_number(F.col("employee_number")).alias("_number"), "person_key")
+        by_number = lookup(given.where("_number is not null"), ["_number"], "number")
+        joined = joined.withColumn("_number", normalised_number(F.col("employee_number"))).join(by_number, "_number", "left")
     # The first step with any candidate decides, also when it is ambiguous.
     pick = lambda make: F.coalesce(
         *[F.when(F.col(f"{s}_person").isNotNull(), make(s)) for s in steps]
     )
-    methods = {"known": "existing_mapping", "email": "email", "link": "hire_link"}
+    methods = {"known": "existing_mapping", "email": "email", "number": "employee_number", "link": "hire_link"}
     decided = joined.select(
         *REGISTRY_KEYS,
         F.coalesce(pick(lambda s: F.lit(methods[s])), F.lit("new_person")).alias("match_method"),
@@ -101,6 +114,48 @@ def match_identities(
     return resolved, review
 
 
+def identity_graph(
+    records: DataFrame,
+    evidence: Sequence[str],
+    single: Sequence[str] = (),
+    keys: Sequence[str] = REGISTRY_KEYS,
+    known: str | None = None,
+) -> DataFrame:
+    """Records with the person that their evidence leads to over any number of steps.
+
+    Two records are linked if they agree on one of the ``evidence`` columns (null is no evidence); persons are the
+    connected components. Returns the keys, ``person_key``, ``records`` (how many the component has), ``conflict`` and
+    ``reason``, the columns in conflict. A component is in conflict if a ``single`` column, for example the employee
+    number, has two values in it, or if ``known``, a column of persons already mapped, names two persons; such records
+    are for review and are not to be merged. ``person_key`` is the known person, if there is one, else the
+    component's smallest record key.
+
+    Linking to the smallest record of each value takes one row per record and column, also where a value is shared
+    by a third of all records; no pairs are made.
+    """
+    used = [*evidence, *[c for c in (*single, known) if c and c not in evidence]]
+    nodes = cut_lineage(records.select(surrogate_key(*keys).alias("_node"), *keys, *used), "identity")
+    shared = list(evidence) if known is None or known in evidence else [*evidence, known]
+    value = lambda c: F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value"))
+    said = nodes.select("_node", F.explode(F.array(*map(value, shared))).alias("_e")).select("_node", "_e.*").where("value is not null")
+    first = said.groupBy("kind", "value").agg(F.min("_node").alias("_first"))
+    links = said.join(first, ["kind", "value"]).select("_node", "_first")
+    named = nodes.join(components(links).withColumnRenamed("node", "_node"), "_node", "left").withColumn(
+        "component", F.coalesce("component", "_node")
+    )
+    checked = [*single, *([known] if known else [])]
+    least = [F.min(c).alias(f"_min_{c}") for c in checked]
+    most = [F.max(c).alias(f"_max_{c}") for c in checked]
+    groups = named.groupBy("component").agg(F.count(F.lit(1)).alias("records"), *least, *most)
+    wrong = [F.when(F.col(f"_min_{c}") != F.col(f"_max_{c}"), F.lit(c)) for c in checked]
+    reason = F.concat_ws(",", *wrong) if wrong else F.lit("")
+    person = F.coalesce(F.col(f"_min_{known}").cast("string"), F.col("component")) if known else F.col("component")
+    groups = groups.select(
+        "component", person.alias("person_key"), "records", (reason != "").alias("conflict"), F.nullif(reason, F.lit("")).alias("reason")
+    )
+    return named.select("component", *keys).join(groups, "component").drop("component")
+
+
 def link_offers_by_window(
     offers: DataFrame, workers: DataFrame, keys: Sequence[str], days: int = 14
 ) -> DataFrame:

@@ -105,6 +105,41 @@ def check_snapshot_active(snapshot: DataFrame, episodes: DataFrame) -> DataFrame
     return s.join(e, active, "left_anti").select("snapshot_date", "employee_key")
 
 
+def check_intervals_active(intervals: DataFrame, episodes: DataFrame) -> DataFrame:
+    """What :func:`check_snapshot_active` finds, from the closed intervals whose days are the snapshot rows.
+
+    Per employee the first and last days of intervals and episodes are swept once; rows are made for the days in
+    violation only, not for every employee and day. An employee's rows are their own changes, so no group is large.
+    """
+    day_after = F.date_add("to_date", 1)
+    change = lambda df, day, n, cover: df.select("employee_key", day.alias("day"), F.lit(n).alias("n"), F.lit(cover).alias("cover"))
+    held = intervals.where("from_date <= to_date")
+    known = episodes.where("employee_key is not null and hire_date is not null and not coalesce(termination_date <= hire_date, false)")
+    changes = reduce(
+        DataFrame.union,
+        [
+            change(held, F.col("from_date"), 1, 0),
+            change(held, day_after, -1, 0),
+            change(known, F.col("hire_date"), 0, 1),
+            change(known.where("termination_date is not null"), F.col("termination_date"), 0, -1),
+        ],
+    )
+    along = Window.partitionBy("employee_key").orderBy("day")
+    swept = (
+        changes.groupBy("employee_key", "day")
+        .agg(F.sum("n").alias("n"), F.sum("cover").alias("cover"))
+        .select(
+            "employee_key",
+            "day",
+            F.lead("day").over(along).alias("next_day"),
+            F.sum("n").over(along).cast("int").alias("n"),
+            F.sum("cover").over(along).alias("cover"),
+        )
+    )
+    wrong = swept.where("n > 0 and cover = 0").withColumn("snapshot_date", F.explode(F.expr("sequence(day, date_sub(next_day, 1), interval 1 day)")))
+    return wrong.select("snapshot_date", F.explode(F.array_repeat("employee_key", F.col("n"))).alias("employee_key"))
+
+
 def check_non_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows with a negative number in any of the columns."""
     return df.where(reduce(lambda a, b: a | b, [F.col(c) < 0 for c in columns]))

@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from hrflow.operators import identity, privacy, quality, reconcile
+from hrflow.operators.components import components
+from hrflow.operators.snapshot import explode_days
 from hrflow.plans import core
 from hrflow.streaming.events import check_deliveries, first_deliveries, land_events, read_events, reconcile_events
 from tests.helpers import d, rows, ts, workers
@@ -48,6 +51,21 @@ def test_history_checks(spark):
     assert quality.check_snapshot_active(snap, ep).count() == 2
 
 
+def test_intervals_give_the_violations_of_their_days(spark):
+    r = random.Random(5)
+    day = lambda n: d("2024-01-01") + dt.timedelta(days=n)
+    spans = [(r.choice("abcde"), day(at := r.randrange(60)), day(at + r.randrange(20))) for _ in range(40)]
+    spans += [(None, day(1), day(3)), ("z", day(0), day(1)), ("z", day(0), day(1))]
+    stints = [(r.choice("abcd"), day(at := r.randrange(60)), r.choice([None, day(at + r.randrange(-1, 15))])) for _ in range(14)]
+    stints += [(None, day(0), None), ("e", None, day(9))]
+    held = spark.createDataFrame(spans, "employee_key string, from_date date, to_date date")
+    episodes = spark.createDataFrame(stints, "employee_key string, hire_date date, termination_date date")
+    got, want = quality.check_intervals_active(held, episodes), quality.check_snapshot_active(explode_days(held), episodes)
+    assert rows(got) == rows(want) and got.count() > 50
+    assert quality.check_intervals_active(held.limit(0), episodes).count() == 0
+    assert quality.check_intervals_active(held, episodes.limit(0)).count() == explode_days(held).count()
+
+
 def test_operational_checks(spark):
     daily = spark.createDataFrame([(d("2024-01-01"), 10), (d("2024-01-02"), 11), (d("2024-01-03"), 30)], "day date, n int")
     assert rows(quality.check_delta_band(daily, "day", "n", -5, 5)) == [(d("2024-01-03"), 30, 19)]
@@ -193,6 +211,65 @@ def test_match_cascade(spark):
     assert [r.source_record_id for r in review.collect()] == ["3"]
 
 
+def test_match_by_employee_number(spark):
+    said = [("1", "a@x", "E1"), ("2", None, " e2 "), ("3", None, "E3"), ("4", None, "E9"), ("5", None, None), ("6", None, "")]
+    incoming = spark.createDataFrame([("s", "o", *r) for r in said], "source_system string, source_object string, source_record_id string, email string, employee_number string")
+    emails = spark.createDataFrame([("a@x", "P1")], "email string, person_key string")
+    numbers = spark.createDataFrame([("E1", "P7"), ("E2", "P2"), ("E3", "P3"), ("E3", "P4"), ("", "P0"), (None, "P0")], "employee_number string, person_key string")
+    links = spark.createDataFrame([("2", "P8"), ("5", "P5")], "source_record_id string, person_key string")
+    resolved, review = identity.match_identities(incoming, registry(spark, [("9", "P9")]), emails, links, numbers)
+    got = {r.source_record_id: (r.match_method, r.resolved_person_key) for r in resolved.collect()}
+    assert got["1"] == ("email", "P1") and got["2"] == ("employee_number", "P2") and got["5"] == ("hire_link", "P5")
+    assert got["4"][0] == got["6"][0] == "new_person" and len(got) == 5
+    assert [(r.source_record_id, r.match_method) for r in review.collect()] == [("3", "employee_number")]
+    without = identity.match_identities(incoming, registry(spark, [("9", "P9")]), emails, links)[0]
+    assert {r.source_record_id: r.match_method for r in without.collect()}["2"] == "hire_link"
+
+
+def _roots(pairs):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        lo, hi = sorted((find(a), find(b)))
+        root[hi] = lo
+    return {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_union_find(spark, seed):
+    r = random.Random(seed)
+    pairs = [(a, a + 1) for a in r.sample(range(300), 200)]  # paths
+    pairs += [(400, 400 + i) for i in r.sample(range(80), 60)] + [(500 + i, 560) for i in range(40)]  # stars onto small and large nodes
+    pairs += [(r.randrange(600, 680), r.randrange(600, 680)) for _ in range(50)] + [(700, 701), (701, 702), (702, 700), (900, 900)]
+    pairs += pairs[:30]
+    want = {x: y for x, y in _roots(pairs).items() if x != y}
+    links = spark.createDataFrame([*pairs, (None, 1), (5, None)], "a long, b long")
+    assert dict(map(tuple, components(links).collect())) == want
+    assert components(links.limit(0)).count() == 0
+
+
+def test_identity_graph_finds_persons_and_conflicts(spark):
+    said = [
+        ("1", "a", None, "E1", None), ("2", "a", "x", None, None), ("3", None, "x", "E1", "P5"),
+        ("4", "b", None, "E2", None), ("5", "b", None, "E3", None),
+        ("6", "c", None, None, "P1"), ("7", "c", None, None, "P2"), ("8", None, None, None, None), ("9", None, None, None, "P2"),
+    ]
+    df = spark.createDataFrame([("s", "o", *r) for r in said], "source_system string, source_object string, source_record_id string, mail string, phone string, number string, person string")
+    out = {r.source_record_id: r for r in identity.identity_graph(df, ["mail", "phone"], ["number"], known="person").collect()}
+    assert {i for i in out if out[i].conflict} == {"4", "5", "6", "7", "9"} and len(out) == 9
+    assert {out[i].person_key for i in "123"} == {"P5"} and {out[i].records for i in "123"} == {3}
+    assert {out[i].reason for i in "45"} == {"number"} and {out[i].reason for i in "679"} == {"person"}
+    assert out["8"].records == 1 and out["8"].reason is None
+    alone = identity.identity_graph(df, ["number"])
+    assert len({r.person_key for r in alone.collect()}) == 8 and not any(r.conflict for r in alone.collect())
+    assert identity.identity_graph(df.limit(0), ["mail"]).count() == 0
+
+
 def test_offer_fallback_link_needs_one_worker(spark):
     offers = spark.createDataFrame([("o1", "A", ts("2024-01-15")), ("o2", "B", ts("2024-01-15")), ("o3", "A", ts("2024-03-01"))], "offer_id string, dep string, responded_at timestamp")
     w = spark.createDataFrame([("W1", "A", d("2024-01-29")), ("W2", "B", d("2024-01-10")), ("W3", "B", d("2024-01-20")), ("W4", "A", d("2024-01-30"))], "worker_id string, dep string, hire_date date")

@@ -171,7 +171,7 @@ def _snapshot_unique(t, spark, sf):
 def _snapshot_active(t, spark, sf):
     """Snapshot against episodes that end 30 days earlier."""
     episodes = t["dim_employment_episode"].withColumn("termination_date", F.date_sub("termination_date", 30))
-    return quality.check_snapshot_active(t["fact_headcount_snapshot_daily"], episodes)
+    return quality.check_intervals_active(t["active_intervals"], episodes)
 
 
 @query(
@@ -575,6 +575,72 @@ def _cascade(spark, sf):
     return identity.match_identities(incoming, _registry(c), emails, links)
 
 
+@query(
+    "identity_number",
+    f"""with c as (select *, {_REG}, case when c_acctbal < 3000 then 'E' || (c_custkey // 2) end as number from customer),
+             numbers as (select 'E' || (c_custkey // 2) as number, min('P' || c_custkey) as lo, max('P' || c_custkey) as hi
+                         from c where c_acctbal < 5000 group by 1)
+        select source_record_id,
+               case when n.lo is null then 'new_person' when n.lo = n.hi then 'employee_number' else 'review' end as outcome,
+               case when n.lo is null then {key("source_system", "source_object", "source_record_id")}
+                    when n.lo = n.hi then n.lo end as person_key
+        from c left join numbers n using (number)""",
+)
+def _number(t, spark, sf):
+    """Cascade by employee number alone; numbers that lead to two persons go to review."""
+    c = table(spark, sf, "customer")
+    number = F.concat(F.lit("E"), F.floor(F.col("c_custkey") / 2).cast("string"))
+    incoming = _records(c).select(
+        *identity.REGISTRY_KEYS,
+        F.lit(None).cast("string").alias("email"),
+        F.when(F.col("c_acctbal") < 3000, F.concat(F.lit(" "), F.lower(number))).alias("employee_number"),
+    )
+    person = F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("person_key")
+    numbers = c.where("c_acctbal < 5000").select(number.alias("employee_number"), person)
+    nobody = c.limit(0)
+    resolved, review = identity.match_identities(
+        incoming,
+        _registry(nobody),
+        nobody.select(F.col("c_name").alias("email"), person),
+        nobody.select(F.col("c_name").alias("source_record_id"), person),
+        numbers,
+    )
+    return resolved.select("source_record_id", F.col("match_method").alias("outcome"), F.col("resolved_person_key").alias("person_key")).union(
+        review.select("source_record_id", F.lit("review"), F.lit(None).cast("string"))
+    )
+
+
+_GRAPH = f"""with recursive c as (
+        select {_REG}, {key("'crm'", "'customers'", "'C' || c_custkey")} as node,
+               case when c_acctbal < 6000 then 'm' || (c_custkey // 3) end as mail,
+               case when c_acctbal > 2000 then 'p' || ((c_custkey + 1) // 4) end as phone,
+               case when c_nationkey % 5 = 0 then 'N' || (c_custkey // 10) end as number
+        from customer),
+    link as (select a.node as a, b.node as b from c a join c b on a.mail = b.mail or a.phone = b.phone or a.number = b.number),
+    reach(root, node) as (select node, node from c union select r.root, l.b from reach r join link l on l.a = r.node),
+    named as (select node, min(root) as component from reach group by 1)
+    select source_record_id, component as person_key, records, conflict
+    from c join named using (node)
+         join (select component, count(*) as records, count(distinct number) > 1 as conflict
+               from c join named using (node) group by 1) using (component)"""
+
+
+@query("identity_graph", _GRAPH)
+def _graph(t, spark, sf):
+    """Customers linked by shared e-mail, phone and employee number, over any number of steps; two numbers are a conflict."""
+    c = table(spark, sf, "customer")
+    group = lambda prefix, k: F.concat(F.lit(prefix), F.floor(k).cast("string"))
+    key_ = F.col("c_custkey")
+    records = _records(c).select(
+        *identity.REGISTRY_KEYS,
+        F.when(F.col("c_acctbal") < 6000, group("m", key_ / 3)).alias("mail"),
+        F.when(F.col("c_acctbal") > 2000, group("p", (key_ + 1) / 4)).alias("phone"),
+        F.when(F.col("c_nationkey") % 5 == 0, group("N", key_ / 10)).alias("number"),
+    )
+    graph = identity.identity_graph(records, ["mail", "phone", "number"], single=["number"])
+    return graph.select("source_record_id", "person_key", "records", "conflict")
+
+
 @query(
     "reconcile_diff",
     """select c_custkey, case when c_mktsegment = 'BUILDING' then 'missing' else 'extra' end as status
