@@ -1,9 +1,10 @@
-"""Ordered window results for groups of any size.
+"""Ordered window results for large groups.
 
 A plain ``lead`` or ``row_number`` puts a whole group into one task. The two functions here cut each
 group along its sort order into buckets, work inside the buckets, and carry values across bucket borders
 through a summary with one row per group and bucket. A group that holds a third of the table is thus
-spread over as many tasks as it has buckets.
+spread over as many tasks as it has buckets. A bucket stays in one task: rows of a group that fall into one
+bucket, for example the same minute or a null timestamp, are not split further.
 """
 
 from __future__ import annotations
