@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hrflow.operators.calendar import split_by_period
+from hrflow.operators.storage import cut_lineage
 
 # Fixed value: first day of the daily snapshot unless the caller says otherwise.
 SNAPSHOT_START = dt.date(2022, 1, 1)
@@ -87,6 +88,24 @@ def last_day(intervals: DataFrame) -> Column:
     return intervals.agg(F.max("to_date")).scalar()
 
 
+def last_snapshot(
+    intervals: DataFrame,
+    near: dt.date | Column,
+    columns: Sequence[str] = ("employee_key", "manager_employee_key", "department"),
+) -> DataFrame:
+    """The daily fact for the last day of the snapshot; only intervals that end on ``near`` or later are stored.
+
+    ``near`` is where the last day is expected, usually the last termination date, on which most are still active. Any value gives
+    the same rows: an earlier one stores more, and if nothing reaches it all intervals are stored.
+    """
+    day = near if isinstance(near, Column) else F.lit(near)
+    narrow = intervals.select(*columns, "from_date", "to_date")
+    stored = cut_lineage(narrow.where(F.col("to_date") >= day), "last_day")
+    if stored.isEmpty():
+        stored = cut_lineage(narrow, "last_day")
+    return snapshot_on(stored, last_day(stored))
+
+
 def with_month(daily: DataFrame) -> DataFrame:
     """Adds the storage partition column of the daily facts."""
     return daily.withColumn("snapshot_month", F.date_format("snapshot_date", "yyyy-MM"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hrflow.functions import band, rank_in, round_away, safe_ratio, trailing
 from hrflow.operators.hierarchy import manager_chain, org_pyramid, span_of_control
 from hrflow.operators.history import as_of as valid_on
-from hrflow.operators.snapshot import last_day, person_days, snapshot_on
+from hrflow.operators.snapshot import last_day, last_snapshot, last_termination, person_days
 from hrflow.sources.landing import audit_trace
 
 Tables = Mapping[str, DataFrame]
@@ -146,14 +146,14 @@ def q03(t: Tables, as_of: dt.date, days: int = 365) -> DataFrame:
 
 def q04(t: Tables, as_of: dt.date, k: int = 20) -> DataFrame:
     """Managers with the most direct reports on the last day."""
-    today = snapshot_on(t["active_intervals"], last_day(t["active_intervals"]))
+    today = last_snapshot(t["active_intervals"], last_termination(t["dim_employee"], as_of))
     spans = span_of_control(today, t["dim_employee"])
     return spans.orderBy(F.col("direct_reports").desc(), "manager", "department").limit(k)
 
 
 def q05(t: Tables, as_of: dt.date) -> DataFrame:
     """Employees per level below the top on the last day."""
-    today = snapshot_on(t["active_intervals"], last_day(t["active_intervals"]))
+    today = last_snapshot(t["active_intervals"], last_termination(t["dim_employee"], as_of))
     return org_pyramid(manager_chain(today)).orderBy("levels_above")
 
 

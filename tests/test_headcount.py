@@ -23,6 +23,7 @@ from hrflow.operators.snapshot import (
     exact,
     explode_days,
     last_day,
+    last_snapshot,
     last_termination,
     person_days,
     snapshot_on,
@@ -152,6 +153,18 @@ def test_backdated_version_changes_only_its_days(spark):
     assert changed == {("W1", d("2024-02-10") + dt.timedelta(i)) for i in range(20)}
 
 
+def test_last_snapshot_is_the_last_day_wherever_it_is_looked_for(spark, org):
+    iv = org[5]
+    names = ["employee_key", "manager_employee_key", "department", "snapshot_date"]
+    for cut in (dt.date(2024, 3, 1), END):
+        some = iv.where(F.col("to_date") <= F.lit(cut))
+        want = rows(snapshot_on(some, last_day(some)).select(names))
+        last = some.agg(F.max("to_date")).first()[0]
+        for near in (START, last - dt.timedelta(1), last, last + dt.timedelta(1), dt.date(2030, 1, 1)):
+            assert rows(last_snapshot(some, near).select(names)) == want != []
+    assert last_snapshot(iv.where("1 = 0"), END).count() == 0
+
+
 def brute_chain(snapshot, max_depth=20):
     boss = {(day, wid): row[2] for day, wid, row in snapshot}
     out = []

@@ -23,9 +23,8 @@ from hrflow.operators.snapshot import (
     daily_totals,
     exact,
     explode_days,
-    last_day,
+    last_snapshot,
     last_termination,
-    snapshot_on,
 )
 from hrflow.plans import core
 from hrflow.plans.people_metrics import attrition_annualised, mobility_rate, workforce_on
@@ -343,10 +342,10 @@ def _chain_ancestors(t, spark, sf):
 
 
 def _today(t):
-    return snapshot_on(t["active_intervals"], last_day(t["active_intervals"]))
+    return last_snapshot(t["active_intervals"], last_termination(t["stg_workers"], AS_OF))
 
 
-@query("manager_chain_day", check("select * from last_chain"), pin=DAY_PIN)
+@query("manager_chain_day", check("select * from last_chain"))
 def _chain_day(t, spark, sf):
     """Chain rows of the last snapshot day."""
     return manager_chain(_today(t))
@@ -357,7 +356,6 @@ def _chain_day(t, spark, sf):
     check(
         "select depth as levels_above, count(distinct employee_key) as employees from last_chain group by depth"
     ),
-    pin=DAY_PIN,
 )
 def _pyramid(t, spark, sf):
     return org_pyramid(manager_chain(_today(t)))
@@ -370,7 +368,6 @@ def _pyramid(t, spark, sf):
                   count(*) as direct_reports
            from last_snapshot s join employees m on m.employee_key = s.manager_employee_key group by all"""
     ),
-    pin=DAY_PIN,
 )
 def _span(t, spark, sf):
     return span_of_control(_today(t), t["dim_employee"])
@@ -384,7 +381,6 @@ def _span(t, spark, sf):
                   count(distinct employee_key) as total_org_size
            from last_chain group by all"""
     ),
-    pin=DAY_PIN,
 )
 def _org_size(t, spark, sf):
     return org_size(manager_chain(_today(t)))
@@ -399,7 +395,6 @@ def _org_size(t, spark, sf):
                  where manager_employee_key is not null group by all) x
            join last_snapshot m on m.employee_key = x.manager_employee_key group by m.department"""
     ),
-    pin=DAY_PIN,
 )
 def _span_stats(t, spark, sf):
     return span_stats(_today(t))

@@ -11,7 +11,7 @@ from workload.views import all_tables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
-#: What the queries over one day, its managers and departments read of the intervals.
+#: What queries that read the intervals twice need of them.
 DAY_PIN = {"active_intervals": ("employee_key", "manager_employee_key", "department", "from_date", "to_date")}
 
 

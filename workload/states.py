@@ -18,7 +18,7 @@ from hrflow.operators.storage import cut_lineage
 from hrflow.operators.subtree import managers_below, org_size_by_labels, subtree_labels
 from workload.checks import check
 from workload.hr import _today
-from workload.registry import CHECKS, DAY_PIN, query
+from workload.registry import CHECKS, query
 
 GRAINS = ("month", "quarter", "year")
 
@@ -50,7 +50,6 @@ def _per_grain(sql: str) -> str:
                       count(distinct employee_key) as employees from snapshot group by all"""
         )
     ),
-    pin=DAY_PIN,
 )
 def _distinct_by_period(t, spark, sf):
     """Distinct employees of months, quarters and years by department, from the daily state alone."""
@@ -111,7 +110,7 @@ def _quantiles_sketched(t, spark, sf):
     return result.withColumns({name: F.round(name, 2) for name in ("median", "p90")})
 
 
-@query("org_size_labels", CHECKS["org_size"], pin=DAY_PIN)
+@query("org_size_labels", CHECKS["org_size"])
 def _org_size_labels(t, spark, sf):
     """The sizes of ``org_size`` from subtree labels, without a row per ancestor and employee."""
     return org_size_by_labels(_today(t))
@@ -125,7 +124,6 @@ def _org_size_labels(t, spark, sf):
            union
            select snapshot_date, manager_employee_key, manager_employee_key from last_snapshot where manager_employee_key is not null"""
     ),
-    pin=DAY_PIN,
 )
 def _managers_below(t, spark, sf):
     """All managers at or below each manager, by ranges of labels."""
