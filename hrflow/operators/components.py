@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hrflow.operators.storage import cut_lineage
+from hrflow.operators.storage import Rounds
 
 
 def _smallest(links: DataFrame) -> DataFrame:
@@ -36,14 +36,15 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     Alternating stars: links are moved onto the smallest neighbour, first from the larger side, then from the smaller one, until
     every component is a star. Rounds grow with the logarithm of the component sizes, links never grow in number beyond nodes plus
     links, and the smallest neighbour is an aggregate with map-side combining, so a node that a third of all rows link
-    to costs one row a task. Each round is written to the shared folder and survives lost executors.
+    to costs one row a task. Each round is written to the shared folder, in place of the one before, and survives lost executors.
     """
     src, dst = links.columns
     named = links.where(F.col(src) != F.col(dst))  # neither is null then
     start = named.select(F.greatest(src, dst).alias("src"), F.least(src, dst).alias("dst"))
-    stars, seen = cut_lineage(start.distinct(), "links"), None
+    rounds = Rounds("links")
+    stars, seen = rounds.save(start.distinct()), None
     for _ in range(max_rounds):
-        stars = cut_lineage(_downwards(_onto_smallest(stars)), "links")
+        stars = rounds.save(_downwards(_onto_smallest(stars)))
         rows = F.struct("src", "dst")
         state = stars.agg(F.count(rows), F.sum(F.xxhash64(rows).cast("decimal(38,0)"))).first()
         if state == seen:

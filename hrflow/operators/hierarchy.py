@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from hrflow.operators.calendar import split_by_period
 from hrflow.operators.history import as_of as valid_on
 from hrflow.operators.history import as_of_join
-from hrflow.operators.storage import cut_lineage
+from hrflow.operators.storage import Rounds, cut_lineage
 
 MAX_DEPTH = 20
 
@@ -161,7 +161,8 @@ def resolve_survivors(merges: DataFrame, max_rounds: int = MAX_DEPTH) -> DataFra
     ``merges`` holds (merged_key, survivor_key), one row per merged key. Each round replaces a pointer by
     its target's pointer, so the distance covered doubles and a chain of length n takes log2(n) rounds.
     """
-    pointers = cut_lineage(merges.select("merged_key", "survivor_key"), "merges")
+    rounds = Rounds("merges")
+    pointers = rounds.save(merges.select("merged_key", "survivor_key"))
     for _ in range(max_rounds):
         a, b = pointers.alias("a"), pointers.alias("b")
         step = a.join(b, F.col("a.survivor_key") == F.col("b.merged_key"), "left").select(
@@ -169,7 +170,7 @@ def resolve_survivors(merges: DataFrame, max_rounds: int = MAX_DEPTH) -> DataFra
             F.coalesce("b.survivor_key", "a.survivor_key").alias("survivor_key"),
             F.col("b.survivor_key").isNotNull().alias("_moved"),
         )
-        step = cut_lineage(step, "merges")
+        step = rounds.save(step)
         pointers = step.drop("_moved")
         if step.where("_moved").isEmpty():
             return pointers

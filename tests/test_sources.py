@@ -2,13 +2,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from hrflow.operators.dedupe import latest, latest_record
-from hrflow.operators.storage import cut_lineage, materialize, shared_folder
+from hrflow.operators.storage import Rounds, cut_lineage, materialize, scratch_scope, shared_folder
 from hrflow.sources import landing
 from hrflow.sources.documents import as_documents, field_text, read_documents, unfurl
 from hrflow.sources.flatten import BASE_MODELS, SOURCE_OBJECTS, base_model
@@ -232,6 +233,33 @@ def test_materialize_and_cut_lineage(spark, tmp_path):
     assert shared_folder(spark) == shared_folder(spark)
 
 
+def test_scratch_goes_with_its_scope(spark):
+    def made():
+        return {x.rsplit("-", 1)[0] for x in os.listdir(shared_folder(spark).removeprefix("file:"))} & {"outside", "outer", "inner", "broken", "rounds"}
+
+    cut_lineage(spark.range(3), "outside")
+    with scratch_scope(spark):
+        outer = cut_lineage(spark.range(10), "outer")
+        with scratch_scope(spark):
+            assert cut_lineage(outer, "inner").count() == 10 and made() == {"outside", "outer", "inner"}
+        assert outer.count() == 10 and made() == {"outside", "outer"}
+    assert made() == {"outside"}
+    with pytest.raises(RuntimeError), scratch_scope(spark):
+        cut_lineage(outer.sparkSession.range(1), "broken")
+        raise RuntimeError
+    assert made() == {"outside"}
+
+
+def test_rounds_keep_the_last_table_alone(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    count = lambda: sum(x.startswith("rounds-") for x in os.listdir(folder))
+    rounds, before = Rounds("rounds"), count()
+    df = rounds.save(spark.range(1, 5))
+    for _ in range(3):
+        df = rounds.save(df.selectExpr("id * 2 as id"))
+    assert count() == before + 1 and sorted(r.id for r in df.collect()) == [8, 16, 24, 32]
+
+
 def test_shared_folder_must_be_configured_on_a_cluster():
     class Conf:
         def get(self, *_):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hrflow.operators.dedupe import latest_record
 from hrflow.operators.quality import check_not_null
-from hrflow.operators.storage import materialize, shared_folder
+from hrflow.operators.storage import materialize, scratch_path
 from hrflow.plans import core
 from hrflow.plans.reports import q11
 from hrflow.sources import landing
@@ -233,7 +233,7 @@ def _unfurl_parents(t, spark, sf):
 )
 def _raw_to_fact(t, spark, sf):
     """Documents landed to a raw table on disk, then base, staging and fact."""
-    path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "raw")
     landing.land(event_raw(spark, sf), path, truncate_first=True)
     raw = spark.read.parquet(path)
     fact = core.fact_employment_event(base_model(raw, "employment_events"))
@@ -282,7 +282,7 @@ def _worker_documents(spark, sf):
 
 def _ingested(spark, sf, system: str):
     """Raw tables of a system whose extract files were written from the driver's tables; also the raw folder."""
-    folder = f"{shared_folder(spark)}/extract-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "extract")
     workers = _worker_documents(spark, sf)
     line = F.to_json(F.struct(*workers.columns), {"ignoreNullFields": "false"})
     # Every 50th worker's line was cut off in transfer.
@@ -487,7 +487,7 @@ def _with_raw(t):
 def _delivered(spark, sf) -> str:
     """The events as files of a stream folder: newest first, every event twice, so most are late."""
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "stream")
     for late in (False, True):
         e.where(F.dayofmonth("ts") <= 15 if late else F.dayofmonth("ts") > 15).write.mode("append").parquet(path)
     e.write.mode("append").parquet(path)
@@ -534,7 +534,7 @@ def _stream_reconcile(t, spark, sf):
 def _materialized(t, spark, sf):
     """A partitioned table at a path of the shared folder, and rows appended to a catalog table."""
     counts = table(spark, sf, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    name, path = f"counts_{uuid.uuid4().hex}", f"{shared_folder(spark)}/counts-{uuid.uuid4().hex}"
+    name, path = f"counts_{uuid.uuid4().hex}", scratch_path(spark, "counts")
     stored = materialize(counts, name, "table", path, partition_by=("o_orderpriority",))
     landing.land_table(stored, f"{name}_twice")
     landing.land_table(stored, f"{name}_twice")
@@ -566,7 +566,7 @@ def _extract(spark, sf, run, at, broken=False, keep="true"):
 )
 def _rerun(t, spark, sf):
     """Runs that break between objects, that break while they replace, and that are repeated: each lands once or not at all."""
-    log = CommitLog(spark, f"{shared_folder(spark)}/runs-{uuid.uuid4().hex}")
+    log = CommitLog(spark, scratch_path(spark, "runs"))
     later = "c_acctbal > 0"
 
     def attempt(run, at, truncate_first=False, **how):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,7 +11,7 @@ from hrflow.operators.digests import reconcile_stored, restate_stored, store_wit
 from hrflow.operators.file_index import erase_in_files, index_files
 from hrflow.operators.registry import merge_registry, read_registry
 from hrflow.operators.snapshot import active_intervals, daily_totals, last_termination
-from hrflow.operators.storage import cut_lineage, shared_folder
+from hrflow.operators.storage import cut_lineage, scratch_path
 from hrflow.plans import core
 from hrflow.plans.restatement import clipped, dirty_months, publish_daily, read_daily, restate_months
 from hrflow.sources.commits import CommitLog
@@ -24,7 +23,7 @@ from workload.views import AS_OF, START, table
 
 
 def _log(spark, name: str) -> CommitLog:
-    return CommitLog(spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
+    return CommitLog(spark, scratch_path(spark, name))
 
 
 def _matches(customers, letter: str, method: str, confidence: float):
