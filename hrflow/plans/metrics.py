@@ -18,6 +18,8 @@ from hrflow.operators.calendar import period_start
 from hrflow.operators.snapshot import daily_totals, snapshot_periods
 
 Tables = Mapping[str, DataFrame]
+#: Slice name -> condition on its column.
+Conditions = Mapping[str, Callable[[Column], Column]]
 
 
 @dataclass(frozen=True)
@@ -191,13 +193,17 @@ def _model_of(measure: str) -> SemanticModel:
     return next(m for m in SEMANTIC_MODELS.values() if measure in m.measures)
 
 
-def _with_dims(df: DataFrame, model: SemanticModel, dims: Sequence[str], tables: Tables) -> DataFrame:
-    """Adds every requested slice as a column of its requested name."""
-    for dim in dims:
+def _with_dims(
+    df: DataFrame, model: SemanticModel, dims: Sequence[str], tables: Tables, only: Conditions | None = None
+) -> DataFrame:
+    """Adds every requested slice as a column of its requested name, and keeps the rows whose slices meet ``only``."""
+    only = only or {}
+    wanted = [*dims, *[d for d in only if d not in dims]]
+    for dim in wanted:
         if "__" not in dim:
             df = df.withColumn(f"_d_{dim}", F.col(model.dimensions[dim]))
     by_entity: dict[str, list[str]] = {}
-    for dim in dims:
+    for dim in wanted:
         if "__" in dim:
             entity, column = dim.split("__", 1)
             by_entity.setdefault(entity, []).append(column)
@@ -207,6 +213,8 @@ def _with_dims(df: DataFrame, model: SemanticModel, dims: Sequence[str], tables:
             F.col(key).alias("_k"), *[F.col(c).alias(f"_d_{entity}__{c}") for c in columns]
         )
         df = df.join(lookup, F.col(model.entities[entity]) == F.col("_k"), "left").drop("_k")
+    for dim, condition in only.items():
+        df = df.where(condition(F.col(f"_d_{dim}")))
     return df
 
 
@@ -224,10 +232,14 @@ def _aggregate(m: Measure, keep: Column | None, weight: str | None) -> Column:
 
 
 def _daily(
-    model: SemanticModel, measures: Sequence[tuple[str, Measure, Column | None]], tables: Tables, dims: Sequence[str]
+    model: SemanticModel,
+    measures: Sequence[tuple[str, Measure, Column | None]],
+    tables: Tables,
+    dims: Sequence[str],
+    only: Conditions | None = None,
 ) -> DataFrame:
     """Measures of an interval model by day, from the intervals' first and last days: no row per interval and day."""
-    rows = _with_dims(tables[model.table], model, dims, tables)
+    rows = _with_dims(tables[model.table], model, dims, tables, only)
     keeps = [keep for _, _, keep in measures]
     if all(k is not None for k in keeps):
         rows = rows.where(reduce(lambda a, b: a | b, keeps))
@@ -250,10 +262,15 @@ def _daily(
 
 
 def _semi_additive(
-    model: SemanticModel, measures: Sequence[tuple[str, Measure, Column | None]], tables: Tables, grain: str, dims
+    model: SemanticModel,
+    measures: Sequence[tuple[str, Measure, Column | None]],
+    tables: Tables,
+    grain: str,
+    dims: Sequence[str],
+    only: Conditions | None = None,
 ) -> DataFrame:
     """Average per loaded day instead of the sum over days."""
-    rows = _with_dims(model.rows(tables, grain), model, dims, tables)
+    rows = _with_dims(model.rows(tables, grain), model, dims, tables, only)
     bounds = tables[model.table].agg(F.min("from_date").alias("lo"), F.max("to_date").alias("hi"))
     loaded = snapshot_periods(
         bounds.select(F.col("lo").alias("from_date"), F.col("hi").alias("to_date")), grain
@@ -274,13 +291,15 @@ def metric(
     where: Column | None = None,
     semi_additive: str | None = None,
     overrides: Mapping[str, Callable[[], Column]] | None = None,
+    only: Conditions | None = None,
 ) -> DataFrame:
     """Metrics by period (``metric_time``) and slices, one column per metric.
 
     Head count at a grain above day is the number of employee-days of the period, computed from
     interval lengths; ``semi_additive="avg"`` divides by the loaded days of the period. ``where`` filters
-    on requested slices. Groups in which no metric has a row are absent. ``overrides`` replaces metric
-    filters by name.
+    the groups, on requested slices. ``only`` holds a condition for each of any slices, requested or not, that rows must meet
+    before they are aggregated; a slice that a metric's model lacks is a KeyError. Groups in which no metric has a row are
+    absent. ``overrides`` replaces metric filters by name.
 
     All metrics of one model are computed in one pass; results of several models are combined by an
     aggregate over their union, which also matches null slices.
@@ -301,13 +320,13 @@ def metric(
         model = SEMANTIC_MODELS[model_name]
         if semi_additive == "avg" and model.weight is not None:
             measures = [(n, model.measures[METRICS[n].measure], filters[n]() if filters[n] else None) for n in members]
-            parts.append(_semi_additive(model, measures, tables, grain, dims))
+            parts.append(_semi_additive(model, measures, tables, grain, dims, only))
             continue
         if grain == "day" and model.weight is not None:
             measures = [(n, model.measures[METRICS[n].measure], filters[n]() if filters[n] else None) for n in members]
-            parts.append(_daily(model, measures, tables, dims))
+            parts.append(_daily(model, measures, tables, dims, only))
             continue
-        rows = _with_dims(model.rows(tables, grain), model, dims, tables)
+        rows = _with_dims(model.rows(tables, grain), model, dims, tables, only)
         conditions = [filters[n]() if filters[n] else None for n in members]
         if all(c is not None for c in conditions):
             # Rows that no metric uses are dropped at the scan and leave no empty groups behind.

@@ -99,6 +99,20 @@ def test_headcount_adds_up_over_days(tables):
     assert avg == {("2024-01",): 47 / 31, ("2024-02",): 39 / 29, ("2024-03",): 1.0}
 
 
+def test_conditions_on_slices_that_are_not_requested(tables):
+    a, b = {"department": lambda c: c == "A"}, {"department": lambda c: c == "B", "employee__termination_date": lambda c: c.isNull()}
+    assert by_month(metric("active_headcount", tables, "month", only=a), "active_headcount") == {("2024-01",): 31, ("2024-02",): 10}
+    assert by_month(metric("active_headcount", tables, "month", only=b), "active_headcount") == {("2024-01",): 16, ("2024-02",): 29, ("2024-03",): 31}
+    days = metric("active_headcount", tables, "day", only=a)
+    assert days.count() == 41 and days.agg(F.max("active_headcount")).first()[0] == 1
+    avg = by_month(metric("active_headcount", tables, "month", semi_additive="avg", only=a), "active_headcount")
+    assert avg == {("2024-01",): 31 / 31, ("2024-02",): 10 / 29}
+    sliced = metric("terminations", tables, "month", ["department"], only={"termination_reason": lambda c: c == "voluntary"})
+    assert by_month(sliced, "department", "terminations") == {("2024-02", None): 1}
+    with pytest.raises(KeyError):
+        metric("terminations", tables, "month", only={"fte": lambda c: c > 0})
+
+
 def test_flow_metrics_as_written(tables):
     assert by_month(metric("hires", tables, "month"), "hires") == {("2024-01",): 2}
     assert by_month(metric("transfers", tables, "month"), "transfers") == {("2024-03",): 1}
