@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hrflow.operators import hierarchy
 from hrflow.operators.dedupe import latest_version
 from hrflow.operators.hierarchy import (
     attrition_by_manager,
@@ -188,6 +189,36 @@ def test_chain_against_brute_force(spark, org, depth):
     assert sorted(map(name, spans.collect()), key=repr) == want
 
 
+def test_versions_of_one_manager_do_not_cut_the_chain(spark):
+    """40 versions of ten days under one manager, overlapping and repeated rows, managers that change within a month."""
+    days = lambda n: START + dt.timedelta(n)
+    held = [("a", "m", days(10 * i), days(10 * i + 9)) for i in range(40)]
+    held += [("b", "m", days(0), days(50)), ("b", "m", days(0), days(50)), ("b", "n", days(20), days(70)), ("b", "m", days(51), days(90))]
+    held += [("m", "t", days(0), days(45)), ("m", "n", days(46), days(300)), ("n", "t", days(0), days(400)), ("t", None, days(0), days(400))]
+    iv = spark.createDataFrame(held, "employee_key string, manager_employee_key string, from_date date, to_date date")
+    of_a = manager_chain_intervals(iv, grain=None).where("employee_key = 'a' and depth = 1").count()
+    assert of_a == len({days(n).year for n in range(400)})
+    fields = ("snapshot_date", "employee_key", "ancestor_employee_key", "depth")
+    want = sorted(manager_chain(explode_days(iv)).select(*fields).collect())
+    for grain in (None, "month"):
+        chain = manager_chain_intervals(iv, grain=grain)
+        assert sorted(explode_days(chain).select(*fields).collect()) == want
+        assert ("month" in chain.columns) == (grain == "month")
+
+
+@pytest.mark.parametrize("together", [3, 100_000])
+def test_organisation_by_month_against_daily_rows(spark, org, monkeypatch, together):
+    monkeypatch.setattr(hierarchy, "ROWS_TOGETHER", together)
+    iv = org[-1]
+    groups = {}
+    for r in manager_chain(explode_days(iv)).collect():
+        groups.setdefault((r.snapshot_date.replace(day=1), r.ancestor_employee_key, r.depth), []).append(r.employee_key)
+    want = sorted((*k, len(v), len(set(v)), min(v), max(v)) for k, v in groups.items())
+    got = hierarchy.org_by_period(manager_chain_intervals(iv, grain=None), "month")
+    fields = ("month", "ancestor_employee_key", "depth", "employee_days", "employees", "least_employee", "greatest_employee")
+    assert sorted(tuple(r) for r in got.select(*fields).collect()) == want
+
+
 def test_spans(spark, org):
     w, v, wd, _, ep, iv = org
     day = dt.date(2024, 2, 20)
