@@ -89,9 +89,25 @@ def check_scd2_grain(scd: DataFrame) -> DataFrame:
 
 
 def check_snapshot_unique(snapshot: DataFrame) -> DataFrame:
-    """Employees counted more than once on a day."""
-    counts = snapshot.groupBy("snapshot_date", "employee_key").agg(F.count(F.lit(1)).alias("n"))
-    return counts.where("n > 1")
+    """Employees counted more than once on a day.
+
+    ``snapshot`` holds daily rows, or the closed intervals (``from_date``, ``to_date``) whose days they are. Intervals are swept
+    once per employee, by first days and days after the last; rows are made for the days in violation only.
+    """
+    if "snapshot_date" in snapshot.columns:
+        counts = snapshot.groupBy("snapshot_date", "employee_key").agg(F.count(F.lit(1)).alias("n"))
+        return counts.where("n > 1")
+    ends = F.inline(
+        F.array(
+            F.struct(F.col("from_date").alias("day"), F.lit(1).alias("change")),
+            F.struct(F.date_add("to_date", 1).alias("day"), F.lit(-1).alias("change")),
+        )
+    )
+    changes = snapshot.where("from_date <= to_date").select("employee_key", ends).groupBy("employee_key", "day").agg(F.sum("change").alias("change"))
+    along = Window.partitionBy("employee_key").orderBy("day")
+    swept = changes.select("employee_key", "day", F.lead("day").over(along).alias("next_day"), F.sum("change").over(along).alias("n"))
+    days = F.explode(F.expr("sequence(day, date_sub(next_day, 1), interval 1 day)"))
+    return swept.where("n > 1").select(days.alias("snapshot_date"), "employee_key", "n")
 
 
 def check_snapshot_active(snapshot: DataFrame, episodes: DataFrame) -> DataFrame:

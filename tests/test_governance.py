@@ -66,6 +66,26 @@ def test_intervals_give_the_violations_of_their_days(spark):
     assert quality.check_intervals_active(held, episodes.limit(0)).count() == explode_days(held).count()
 
 
+def test_days_counted_twice_from_intervals(spark):
+    held = spark.createDataFrame(
+        [
+            ("x", d("2024-01-01"), d("2024-01-10")),
+            ("x", d("2024-01-05"), d("2024-01-12")),
+            ("x", d("2024-01-10"), d("2024-01-10")),
+            ("x", d("2024-01-13"), d("2024-01-20")),
+            ("y", d("2024-01-01"), d("2024-03-01")),
+            ("y", d("2024-01-09"), d("2024-01-08")),
+            (None, d("2024-02-01"), d("2024-02-02")),
+            (None, d("2024-02-02"), d("2024-02-02")),
+            ("z", d("2024-01-01"), None),
+        ],
+        "employee_key string, from_date date, to_date date",
+    )
+    daily = explode_days(held.where("from_date <= to_date"))
+    got = quality.check_snapshot_unique(held)
+    assert rows(got) == rows(quality.check_snapshot_unique(daily)) and got.count() == 7
+
+
 def test_operational_checks(spark):
     daily = spark.createDataFrame([(d("2024-01-01"), 10), (d("2024-01-02"), 11), (d("2024-01-03"), 30)], "day date, n int")
     assert rows(quality.check_delta_band(daily, "day", "n", -5, 5)) == [(d("2024-01-03"), 30, 19)]

@@ -157,8 +157,8 @@ def _scd_grain(t, spark, sf):
 )
 def _snapshot_unique(t, spark, sf):
     """Snapshot in which one slice was loaded twice."""
-    days = t["fact_headcount_snapshot_daily"].select("snapshot_date", "employee_key", "worker_type", "job_level")
-    return quality.check_snapshot_unique(days.unionByName(days.where("worker_type = 'part_time' and job_level = 'P'")))
+    held = t["active_intervals"].select("employee_key", "worker_type", "job_level", "from_date", "to_date")
+    return quality.check_snapshot_unique(held.unionByName(held.where("worker_type = 'part_time' and job_level = 'P'")))
 
 
 @query(
