@@ -16,6 +16,8 @@ from hrflow.operators.windows import number_in_group
 
 #: Keys are numbered in this many parts.
 PARTS = 4096
+#: Intervals are laid out in pieces of up to 2 ** PIECE_LEVELS days.
+PIECE_LEVELS = 5
 
 
 def dense_ids(keys: DataFrame, key: str, known: DataFrame | None = None) -> DataFrame:
@@ -49,6 +51,42 @@ def distinct_state(rows: DataFrame, by: Sequence[str], id_col: str = "id") -> Da
     )
 
 
+def distinct_state_by_day(intervals: DataFrame, by: Sequence[str], day: str, id_col: str = "id") -> DataFrame:
+    """The state that :func:`distinct_state` gives by (``day``, ``by``) for the days of closed intervals, without a row per id and day.
+
+    An interval is laid out in aligned pieces of 1, 2, 4 up to 32 days, a few for each size. Pieces become bitmaps, and a day's
+    bitmap is the union of those of the pieces that hold it. Rows are dealt once, by slice and block, and stay there.
+    """
+    placed = (
+        intervals.where(F.col(id_col).isNotNull() & (F.col("from_date") <= F.col("to_date")))
+        .select(
+            *by,
+            F.bitmap_bucket_number(id_col).alias("block"),
+            F.bitmap_bit_position(id_col).alias("_bit"),
+            F.unix_date("from_date").alias("_first"),
+            (F.unix_date("to_date") + 1).alias("_after"),
+        )
+        .repartition(*by, "block")
+    )
+    pieces = []
+    for level in range(PIECE_LEVELS + 1):
+        # Whole pieces of this size inside the interval: from ``low`` on, below ``high``. Pairs are left to the next size.
+        low, high = F.shiftright(F.col("_first") + (2**level - 1), level), F.shiftright("_after", level)
+        inside = low < high
+        if level == PIECE_LEVELS:
+            at = F.when(inside, F.sequence(low, high - 1))
+        else:
+            left, right = F.when(low.bitwiseAND(1) == 1, low), F.when(high.bitwiseAND(1) == 1, high - 1)
+            at = F.when(inside, F.array_compact(F.array(left, right)))
+        size = F.lit(level).alias("_level")
+        pieces.append(F.transform(F.coalesce(at, F.array().cast("array<int>")), lambda x: F.struct(size, x.alias("_at"))))  # noqa: B023
+    laid = placed.select(*by, "block", "_bit", F.inline(F.concat(*pieces)))
+    bitmaps = laid.groupBy("_level", "_at", *by, "block").agg(F.bitmap_construct_agg("_bit").alias("bits"))
+    days = F.expr("sequence(shiftleft(_at, _level), shiftleft(_at + 1, _level) - 1)")
+    daily = bitmaps.select(F.explode(days).alias("_day"), *by, "block", "bits")
+    return merge_distinct(daily.withColumn(day, F.date_from_unix_date("_day")).drop("_day"), [day, *by])
+
+
 def merge_distinct(state: DataFrame, by: Sequence[str | Column]) -> DataFrame:
     """The state of coarser groups: ``by`` are columns of the state or expressions over them."""
     return state.groupBy(*by, "block").agg(F.bitmap_or_agg("bits").alias("bits"))

@@ -10,15 +10,18 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from hrflow.operators.snapshot import explode_days
 from hrflow.operators.states import (
     dense_ids,
     distinct_count,
     distinct_state,
+    distinct_state_by_day,
     merge_distinct,
     merge_values,
     state_quantiles,
     value_state,
 )
+from tests.helpers import plan
 
 DAY = dt.date(2024, 1, 1)
 
@@ -102,3 +105,18 @@ def test_zero_and_negative_values(spark, amounts):
     assert values[1] == 0.0 and values[0] == pytest.approx(-2.5, rel=0.01)
     with pytest.raises(ValueError):
         value_state(amounts, [], "pay", 0.0)
+
+
+def test_days_of_intervals_make_the_state_of_their_rows(spark):
+    rng = random.Random(5)
+    rows = [(0, "a", DAY, DAY - dt.timedelta(1)), (None, "a", DAY, DAY), (7, None, dt.date(1969, 12, 1), dt.date(1970, 2, 3)), (7, "b", DAY, None)]
+    for _ in range(300):
+        first = DAY + dt.timedelta(rng.randrange(400))
+        rows.append((rng.randrange(70_000), rng.choice(["a", "b", None]), first, first + dt.timedelta(rng.choice([0, 1, 30, 31, 32, 33, 200, rng.randrange(150)]))))
+    held = spark.createDataFrame(rows + rows[-5:], "id int, slice string, from_date date, to_date date")
+    want = distinct_state(explode_days(held.where("from_date <= to_date")), ["snapshot_date", "slice"])
+    got = distinct_state_by_day(held, ["slice"], "snapshot_date")
+    state = lambda df: {(r.snapshot_date, r.slice, r.block): bytes(r.bits) for r in df.collect()}
+    assert got.count() == want.count() and state(got) == state(want)
+    # Narrow rows are dealt once; neither bitmaps nor rows of a day go over the network.
+    assert plan(got.select("*")).count("Exchange hashpartitioning") == 1

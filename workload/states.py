@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hrflow.operators.snapshot import explode_days
 from hrflow.operators.states import (
     dense_ids,
     distinct_count,
-    distinct_state,
+    distinct_state_by_day,
     merge_distinct,
     merge_values,
     state_quantiles,
@@ -56,7 +55,7 @@ def _distinct_by_period(t, spark, sf):
     intervals = t["active_intervals"].select("employee_key", "department", "from_date", "to_date")
     ids = dense_ids(intervals, "employee_key")
     numbered = intervals.join(ids, "employee_key").drop("employee_key")
-    daily = cut_lineage(distinct_state(explode_days(numbered), ["snapshot_date", "department"]), "state")
+    daily = cut_lineage(distinct_state_by_day(numbered, ["department"], "snapshot_date"), "state")
     by = ["period_start", "department"]
     return _union(
         distinct_count(state, by, "employees").select(F.lit(grain).alias("grain"), *by, "employees")
