@@ -6,11 +6,13 @@ All of them run with ``HRFLOW_ALL_QUERIES=1`` (some minutes); a cross-section ru
 from __future__ import annotations
 
 import os
+from unittest import mock
 
 import pytest
 
 import __spark_entry__ as entry
 from tools.check_queries import TABLES, rows
+from workload import contracts
 from workload.registry import CHECKS, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,3 +56,13 @@ def test_no_query_plans_a_product_of_two_tables(spark):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "date_day" and df.count() > 0
+
+
+def test_contracts_store_no_daily_fact(monkeypatch):
+    """The daily facts are read by one scan each; a stored copy would hold a row per employee and day."""
+    stored = []
+    monkeypatch.setattr(contracts, "cut_lineage", lambda df, name: stored.append(name))
+    monkeypatch.setattr(contracts, "contract_report", lambda tables, declared: (set(tables), declared))
+    tables, declared = contracts._contracts({m: mock.MagicMock() for m in contracts.CORE_CONTRACTS}, None, None)
+    assert tables == set(declared) == set(contracts.CORE_CONTRACTS)
+    assert set(stored) == set(contracts.CORE_CONTRACTS) - {"fact_headcount_snapshot_daily", "fact_manager_chain_daily"}
