@@ -141,18 +141,22 @@ def unfurl(
         return _unfurl_typed(df, array_field, parent_keys, name, id_parts, updated_at)
     parents = without_field(df, array_field).select("doc")
     items = F.try_variant_get(F.col("doc")[array_field], "$", f"array<{DOCUMENT}>")
-    exploded = df.select(F.col("doc").alias("_parent"), F.explode(items).alias("_item"))
-    inherited = F.map_filter(
-        "_parent", lambda k, _: k.isin(list(parent_keys)) & ~F.map_contains_key(F.col("_item"), k)
-    )
+    stamp = field_text("source_updated_at") if updated_at is None else updated_at
+    # Elements carry what children take from the parent, not the whole parent.
+    kept = F.map_filter("doc", lambda k, _: k.isin(list(parent_keys)))
+    taken = df.where(F.col("doc")[array_field].isNotNull()).select(kept.alias("_parent"), stamp.cast("string").alias("_stamp"), items.alias("_items"))
+    # A plain ``explode`` would have the array made again, for conditions on its size.
+    exploded = taken.select("_parent", "_stamp", F.explode_outer("_items").alias("_item")).where(F.col("_item").isNotNull())
+    inherited = F.map_filter("_parent", lambda k, _: ~F.map_contains_key(F.col("_item"), k))
     own = F.map_filter("_item", lambda k, _: ~k.isin([name, "source_updated_at"]))
-    merged = exploded.select("_parent", F.map_concat(inherited, own).alias("doc"))
+    merged = exploded.select("_stamp", F.map_concat(inherited, own).alias("doc"))
     key = F.concat_ws("|", *[field_text(p) for p in id_parts])
-    stamp = field_text("source_updated_at", "_parent") if updated_at is None else updated_at
     added = F.create_map(
-        F.lit(name), key.cast("variant"), F.lit("source_updated_at"), stamp.cast("string").cast("variant")
+        F.lit(name), key.cast("variant"), F.lit("source_updated_at"), F.col("_stamp").cast("variant")
     )
-    return parents, merged.select(F.map_concat("doc", added).alias("doc"))
+    # Elements are no nulls here. Said so, a later condition on the document does not make it a second time.
+    none = F.create_map().cast(DOCUMENT)
+    return parents, merged.select(F.coalesce(F.map_concat("doc", added), none).alias("doc"))
 
 
 def _unfurl_typed(

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hrflow.operators.storage import cut_lineage, scratch_scope
 from hrflow.sources.commits import CommitLog
 from hrflow.sources.documents import read_documents, unfurl, without_field
 from hrflow.sources.flatten import BASE_MODELS
@@ -77,10 +78,14 @@ REJECTS = "rejects"
 def extract_objects(
     spark: SparkSession, system: str, folder: str, extracted_at: dt.datetime, multiline: bool = False
 ) -> dict[str, DataFrame]:
-    """Source object -> documents, child arrays split off. Only parents have a column ``reject``."""
+    """Source object -> documents, child arrays split off. Only parents have a column ``reject``.
+
+    A file is read and parsed once: its documents are stored in the shared folder, from where parents, children and
+    rejects are taken. Inside ``scratch_scope`` they go when it ends.
+    """
     out: dict[str, DataFrame] = {}
     for e in SYSTEMS[system]:
-        docs = read_documents(spark, f"{folder}/{e.file}", multiline)
+        docs = cut_lineage(read_documents(spark, f"{folder}/{e.file}", multiline), "documents")
         if e.nested is not None:
             n = e.nested
             own = F.lit(extracted_at.strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")) if n.own_time else None
@@ -107,11 +112,12 @@ def ingest(
     with ``multiline`` a bad file stops the run with an error.
     """
     run = run_id or new_run_id()
-    for obj, docs in extract_objects(spark, system, folder, extracted_at, multiline).items():
-        raw = stamp(docs, system, obj, run, BASE_MODELS[obj][0], extracted_at)
-        land(raw, f"{raw_folder}/{raw_table(system, obj, schema='')}", truncate_first)
-        if "reject" in docs.columns:
-            land(rejects(docs, system, obj, run, extracted_at), f"{raw_folder}/{REJECTS}")
+    with scratch_scope(spark):
+        for obj, docs in extract_objects(spark, system, folder, extracted_at, multiline).items():
+            raw = stamp(docs, system, obj, run, BASE_MODELS[obj][0], extracted_at)
+            land(raw, f"{raw_folder}/{raw_table(system, obj, schema='')}", truncate_first)
+            if "reject" in docs.columns:
+                land(rejects(docs, system, obj, run, extracted_at), f"{raw_folder}/{REJECTS}")
     return run
 
 
@@ -140,8 +146,9 @@ def ingest_committed(
 
     if (done := log.committed(run_id)) is not None:
         return done
-    tables = make()
-    staged = [e for table, df in tables.items() for e in log.stage(df, table)]
+    with scratch_scope(log.spark):
+        tables = make()
+        staged = [e for table, df in tables.items() for e in log.stage(df, table)]
     return log.commit(run_id, staged, replace_tables=[t for t in tables if t != REJECTS] if truncate_first else ())
 
 

@@ -58,8 +58,8 @@ def stamp(
     """
     if "doc" in docs.columns:
         docs = docs.where(F.col("doc").isNotNull())
-        keys = F.array_sort(F.map_keys("doc"))
-        ordered = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.col("doc")[k])))
+        keys = F.sort_array(F.map_keys("doc"))
+        ordered = F.map_from_arrays(keys, F.transform(keys, lambda k: F.col("doc")[k]))
         text, field = F.to_json(ordered, {"ignoreNullFields": "false"}), field_text
     else:
         text, field = canonical_json(docs.schema), lambda name: typed_text(docs.schema, name)

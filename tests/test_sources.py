@@ -13,6 +13,7 @@ from hrflow.operators.storage import Rounds, cut_lineage, materialize, scratch_s
 from hrflow.sources import landing
 from hrflow.sources.documents import as_documents, field_text, read_documents, unfurl
 from hrflow.sources.flatten import BASE_MODELS, SOURCE_OBJECTS, base_model
+from hrflow.sources.ingest import extract_objects, ingest, raw_tables, rejected
 from tests.helpers import plan, rows
 
 T1, T2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
@@ -276,3 +277,35 @@ def test_shared_folder_must_be_configured_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         shared_folder(Session())
+
+
+def test_extract_files_are_parsed_once(spark, tmp_path):
+    """Parents, children and rejects come from stored documents, which are gone after the run."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    history = [{"effective_date": "2024-01-01", "worker_id": "own", "source_updated_at": "x"}, None, {"effective_date": "2024-02-01"}]
+    lines = [
+        {"worker_id": "w1", "person_external_id": "p1", "extra": 1, "profile_history": history},
+        {"worker_id": "w2", "profile_history": []},
+        {"worker_id": "w3", "profile_history": None},
+        {"worker_id": "w4"},
+    ]
+    (folder / "workday_workers.json").write_text("\n".join([*map(json.dumps, lines), '{"worker_id": "cut']))
+    for name in ("persons", "employment_events"):
+        (folder / f"workday_{name}.json").write_text("")
+    at = dt.datetime(2024, 6, 1)
+    with scratch_scope(spark):
+        objects = extract_objects(spark, "hris_workday", str(folder), at)
+        assert not [name for name, df in objects.items() if "text" in plan(df) or "from_json" in plan(df)]
+    before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
+    ingest(spark, "hris_workday", str(folder), str(tmp_path / "raw"), at, "run")
+    assert set(os.listdir(shared_folder(spark).removeprefix("file:"))) == before
+    raw = raw_tables(spark, str(tmp_path / "raw"), ("hris_workday",))
+    assert sorted(r._source_record_id for r in raw["workers"].collect()) == ["w1", "w2", "w3", "w4"]
+    got = sorted((r._source_record_id, json.loads(r.raw_payload)) for r in raw["profile_versions"].collect())
+    stamp = {"source_updated_at": "2024-06-01T00:00:00.000000+00:00", "person_external_id": "p1"}
+    assert got == [
+        ("own|2024-01-01", {"effective_date": "2024-01-01", "worker_id": "own", "profile_version_id": "own|2024-01-01", **stamp}),
+        ("w1|2024-02-01", {"effective_date": "2024-02-01", "worker_id": "w1", "profile_version_id": "w1|2024-02-01", **stamp}),
+    ]
+    assert [r["count"] for r in rejected(spark, str(tmp_path / "raw")).collect()] == [1]

@@ -256,6 +256,18 @@ def _write_lines(docs, path: str) -> None:
     docs.select(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})).write.text(path)
 
 
+def _worker_rows(spark, sf):
+    """Customers as workers without their history."""
+    number = F.col("c_custkey").cast("string")
+    return table(spark, sf, "customer").select(
+        F.concat(F.lit("W"), number).alias("worker_id"),
+        F.concat(F.lit("P"), number).alias("person_external_id"),
+        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("current_department"),
+        F.lit("2001-12-29T00:00:00Z").alias("source_updated_at"),
+        "c_custkey",
+    )
+
+
 def _worker_documents(spark, sf):
     """Customers as worker documents, their orders as profile history."""
     history = (
@@ -269,15 +281,7 @@ def _worker_documents(spark, sf):
             ).alias("profile_history")
         )
     )
-    c = table(spark, sf, "customer").join(history, F.col("c_custkey") == F.col("o_custkey"), "left")
-    number = F.col("c_custkey").cast("string")
-    return c.select(
-        F.concat(F.lit("W"), number).alias("worker_id"),
-        F.concat(F.lit("P"), number).alias("person_external_id"),
-        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("current_department"),
-        F.lit("2001-12-29T00:00:00Z").alias("source_updated_at"),
-        "profile_history",
-    )
+    return _worker_rows(spark, sf).join(history, F.col("c_custkey") == F.col("o_custkey"), "left").drop("c_custkey", "o_custkey")
 
 
 def _ingested(spark, sf, system: str):
@@ -289,13 +293,13 @@ def _ingested(spark, sf, system: str):
     cut = F.substring("worker_id", 2, 20).cast("long") % 50 == 0
     if system == "hris_workday":
         workers.select(F.when(cut, F.left(line, F.lit(40))).otherwise(line)).write.text(f"{folder}/workday_workers.json")
-        _write_lines(workers.select("person_external_id", "source_updated_at"), f"{folder}/workday_persons.json")
+        _write_lines(_worker_rows(spark, sf).select("person_external_id", "source_updated_at"), f"{folder}/workday_persons.json")
         _write_lines(event_documents(spark, sf), f"{folder}/workday_employment_events.json")
     else:
         _write_lines(job_documents(spark, sf), f"{folder}/ashby_jobs.json")
-        _write_lines(workers.select(F.col("worker_id").alias("candidate_id")), f"{folder}/ashby_candidates.json")
+        _write_lines(_worker_rows(spark, sf).select(F.col("worker_id").alias("candidate_id")), f"{folder}/ashby_candidates.json")
         _write_lines(application_documents(spark, sf), f"{folder}/ashby_applications.json")
-        _write_lines(workers.select(F.col("worker_id").alias("offer_id")), f"{folder}/ashby_offers.json")
+        _write_lines(_worker_rows(spark, sf).select(F.col("worker_id").alias("offer_id")), f"{folder}/ashby_offers.json")
     raw = f"{folder}/raw"
     for run in ("run-0", "run-1"):  # the second run replaces what the first landed, but for its rejects
         ingest(spark, system, folder, raw, RUN_1, run_id=run, truncate_first=run == "run-1")
