@@ -13,30 +13,28 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from hrflow.llm.common import Scratch, process_cache, text_chunks, with_row_key
 
 
 class WordIds:
-    """Ids of whole texts by a tokenizer that encodes pre-tokens one by one; the ids of words are remembered.
+    """Ids of whole texts by a tokenizer that encodes pre-tokens one by one; the ids of pre-tokens are remembered.
 
-    White space ends a pre-token, so a text's ids are those of its words, side by side. Words are read with ``re`` where
-    that agrees with the file's own pattern, and with ``regex`` elsewhere; ``exact`` tells whether the file is of the kind
+    Pre-tokens are cut in arrays, by the class of each character that the file's own pattern tells apart; equal ones are
+    brought together, so Python sees each different one of a portion once. ``exact`` tells whether the file is of the kind
     that this class knows. Other files, and texts with special tokens, go to ``tokenizers`` whole.
     """
 
     #: Fixed value: how the supported file splits normalised text into pre-tokens.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    #: The same for characters below U+0250 without odd spaces and numbers.
-    PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"
-    #: Characters that need the full pattern, composition or care when lower-cased.
-    NOT_PLAIN = re.compile("[^\t-\r -~\u00a1-\u024f]|[\u00b2\u00b3\u00b9\u00bc-\u00be\u0130]")
+    #: Classes of characters; all others are 0. Each character is asked for once.
+    SPACE, LETTER, NUMBER, UNSEEN = 1, 2, 3, 4
 
-    def __init__(self, spec: str, most: int = 250_000):
+    def __init__(self, spec: str, most: int = 400_000, portion: int = 2 << 20):
         self.tokenizer = Tokenizer.from_str(spec)
         told = json.loads(spec)
         steps = [x.get("type") for x in (told["normalizer"] or {}).get("normalizers", [])]
@@ -44,48 +42,124 @@ class WordIds:
         self.exact = steps == ["NFC", "Replace", "Lowercase"] and cuts[0].get("pattern", {}).get("Regex") == self.PATTERN
         # The lower case of the last two depends on what stands around them.
         self.whole = [*(t["content"] for t in told.get("added_tokens", [])), "\u0130", "\u03a3"]
-        self.cut, self.cut_plain = regex.compile(self.PATTERN).findall, re.compile(self.PLAIN_PATTERN).findall
-        self.most, self.tokens, self.words = most, {}, {}
+        self.most, self.portion, self.space = most, portion, re.compile(r"[ \t-\r]")
+        self.kinds = np.full(0x110000, self.UNSEEN, np.uint8)
+        # The model spells a byte as a character: itself if it is visible, else the next one from U+0100 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.spelling = {x: 256 + i for i, x in enumerate(sorted(set(range(256)).difference(shown)))}
+        self._forget()
+
+    def _kinds_of(self, codes: np.ndarray) -> np.ndarray:
+        """The class of each character, as the library's own patterns tell it."""
+        kind = self.kinds[codes]
+        if len(kind) and kind.max() == self.UNSEEN:
+            fresh = np.unique(codes[kind == self.UNSEEN])
+            self.kinds[fresh] = 0
+            for own, run in ((self.SPACE, r"\s+"), (self.LETTER, r"\p{L}+"), (self.NUMBER, r"\p{N}+")):
+                for _, (start, end) in pre_tokenizers.Split(Regex(run), "removed", invert=True).pre_tokenize_str(fresh.tobytes().decode("utf-32-le")):
+                    self.kinds[fresh[start:end]] = own
+            kind = self.kinds[codes]
+        return kind
+
+    def _forget(self) -> None:
+        #: The remembered pre-tokens; where the ids of each begin among ``ids``, and how many they are.
+        self.known = pa.array([], pa.large_string())
+        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if not self.exact:
             return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        if len(self.words) > self.most:
-            self.words.clear()
-        split: list[tuple[dict, list[str]] | None] = []
-        for t in texts:
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for i, t in enumerate(texts):
             if any(x in t for x in self.whole):
-                split.append(None)
-            elif self.NOT_PLAIN.search(t):
-                split.append((self.tokens, self.cut(unicodedata.normalize("NFC", t).lower())))
-            else:
-                split.append((self.words, t.lower().split()))
-        known, seen = self.words, set()
-        for x in split:
-            if x and x[0] is known:
-                seen.update(x[1])
-        fresh = {w: (w,) if w.isalpha() else self.cut_plain(w) for w in seen.difference(known)}
-        self._learn([x[1] for x in split if x and x[0] is self.tokens] + list(fresh.values()))
-        tokens = self.tokens
-        known.update((w, tokens[x[0]] if len(x) == 1 else b"".join([tokens[t] for t in x])) for w, x in fresh.items())
-        return [
-            b"".join(map(x[0].__getitem__, x[1])) if x else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-            for t, x in zip(texts, split, strict=True)
-        ]
-
-    def _learn(self, lists: list[list[str]], portion: int = 2000) -> None:
-        """Encodes the pre-tokens that are new, many in one call: white space keeps them apart."""
-        if len(self.tokens) > self.most:
-            self.tokens.clear()
-        new = list(set(chain.from_iterable(lists)).difference(self.tokens))
-        for at in range(0, len(new), portion):
-            part = new[at : at + portion]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids, np.int64)
-            ends = np.searchsorted(owner, np.arange(len(part)), side="right") * 4
-            packed = ids.tobytes()
-            self.tokens.update(zip(part, map(packed.__getitem__, map(slice, [0, *ends[:-1].tolist()], ends.tolist())), strict=True))
+                out[i].append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes())
+                continue
+            for part in self._parts(unicodedata.normalize("NFC", t).lower()):
+                if held and size + len(part) > self.portion:
+                    self._encode(held, out)
+                    held, size = [], 0
+                held.append((i, part))
+                size += len(part) + 1
+        if held:
+            self._encode(held, out)
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _parts(self, text: str) -> Iterator[str]:
+        """A long text in parts that begin with white space, which no pre-token holds."""
+        at = 0
+        while len(text) - at > self.portion and (found := self.space.search(text, at + self.portion)):
+            yield text[at : found.start()]
+            at = found.start()
+        yield text[at:] if at else text
+
+    def _cut(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where pre-tokens and runs of white space begin, and which of them are white space."""
+        kind = self._kinds_of(codes)
+        begins = np.ones(len(codes), bool)
+        np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+        begins |= kind == self.NUMBER
+        # An apostrophe in front of other characters takes the endings of the pattern with it.
+        marks = np.flatnonzero((codes == ord("'")) & begins)
+        padded = np.concatenate((codes, np.zeros(3, codes.dtype)))
+        one, two = padded[marks + 1], padded[marks + 2]
+        short = np.isin(one, [ord(x) for x in "stmd"])
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        begins[marks[short | long] + 1] = False
+        after = np.concatenate((marks[short] + 2, marks[long] + 3))
+        begins[after[after < len(codes)]] = True
+        starts = np.flatnonzero(begins)
+        return starts, kind[starts] == self.SPACE
+
+    def _encode(self, parts: list[tuple[int, str]], out: list[list[bytes]]) -> None:
+        """Adds the ids of each part to those of its text."""
+        joined = "\n".join([p for _, p in parts])
+        codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        starts, blank = self._cut(codes)
+        ends = np.append(starts, len(codes)).astype(np.int64)  # as characters, then as bytes
+        if not joined.isascii():
+            width = np.ones(len(codes) + 1, np.uint8)
+            for least in (0x80, 0x800, 0x10000):
+                width[1:] += codes >= least
+            width[0] = 0
+            ends = np.cumsum(width, dtype=np.int64)[ends]
+        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(joined.encode()))
+        told = pieces.filter(pa.array(~blank)).dictionary_encode()
+        number = self._numbers(told.dictionary)[told.indices.to_numpy()]
+        count = self.count[number]
+        until = np.cumsum(count)
+        ids = self.ids[np.repeat(self.first[number] - until + count, count) + np.arange(until[-1] if len(until) else 0)]
+        # The ids in front of a part are those of the pre-tokens that begin in front of it.
+        begin = np.cumsum([0] + [len(p) + 1 for _, p in parts])
+        bounds = np.concatenate(([0], until))[np.searchsorted(starts[~blank], begin)].tolist()
+        for (i, _), a, b in zip(parts, bounds[:-1], bounds[1:], strict=True):
+            out[i].append(ids[a:b].tobytes())
+
+    def _numbers(self, tokens: pa.Array) -> np.ndarray:
+        """The places of different pre-tokens among the remembered ones; the model encodes those that are new."""
+        at = pc.index_in(tokens, self.known)
+        full = len(self.known) + at.null_count > self.most or self.known.nbytes > 64 * self.most
+        if at.null_count and len(self.known) and full:
+            self._forget()
+            at = pc.index_in(tokens, self.known)
+        numbers = at.fill_null(-1).to_numpy().astype(np.int64)
+        if at.null_count:
+            fresh = tokens.filter(at.is_null())
+            encode = self.tokenizer.model.tokenize
+            found = [[x.id for x in encode(self._spelled(t))] for t in fresh.to_numpy(zero_copy_only=False)]
+            numbers[numbers < 0] = len(self.known) + np.arange(len(found))
+            count = np.array([len(x) for x in found], np.int64)
+            self.first = np.concatenate((self.first, len(self.ids) + np.cumsum(count) - count))
+            self.count = np.concatenate((self.count, count))
+            self.ids = np.concatenate((self.ids, np.array(list(chain.from_iterable(found)), "<u4")))
+            self.known = pa.concat_arrays([self.known, fresh])
+        return numbers
+
+    def _spelled(self, token: str) -> str:
+        if token.isascii() and token.isprintable():
+            return token
+        return token.encode().decode("latin-1").translate(self.spelling)
 
 
 def _pieces(spec: str, size: int, end_id: int):

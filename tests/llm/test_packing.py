@@ -31,6 +31,29 @@ def test_ids_equal_the_library(spec):
             assert np.frombuffer(got, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_ids_equal_the_library_for_any_character_and_portion(spec):
+    library, r = Tokenizer.from_str(spec), random.Random(3)
+    bits = [*BITS, "'t", "'re", "'ve", "'l", "''", "’s", "…", "\u200d", "👩", "ẞ", "Ⱥ", "ς", "日本語", "ا", "कि", "\x00", "\x7f", "\u3000", "\U000eab2f", "\U0003dc2f", "\U00016cec", "  ", "it"]
+    texts = ["", " ", "'", *("".join(r.choice(bits) for _ in range(r.randint(0, 40))) for _ in range(800))]
+    texts += ["".join(chr(r.choice([r.randrange(0x300), r.randrange(0xD800), r.randrange(0xE000, 0x110000)])) for _ in range(9)) for _ in range(200)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for ids in (WordIds(spec), WordIds(spec, most=50, portion=11)):
+        got = [x for at in range(0, len(texts), 90) for x in ids.of(texts[at : at + 90])]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+        assert [np.frombuffer(ids.of([t])[0], "<u4").tolist() for t in texts[:50]] == want[:50]
+
+
+def test_the_model_sees_each_pre_token_once(spec, monkeypatch):
+    seen = []
+    plain = WordIds._spelled
+    monkeypatch.setattr(WordIds, "_spelled", lambda self, token: seen.append(token) or plain(self, token))
+    ids = WordIds(spec)
+    texts = [f"{a}{mark} {b.upper()}!? it's 12" for a in ("oak", "elm", "été") for b in ("ash", "oak") for mark in (",", ".", "...", "")]
+    for _ in range(3):
+        ids.of(texts * 5)
+    assert sorted(seen) == sorted({"oak", "elm", "été", "ash", ",", ".", "...", "!?", "it", "'s", "1", "2"})
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_plan_places_every_piece(seed):
     r = np.random.default_rng(seed)
