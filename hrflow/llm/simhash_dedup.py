@@ -147,8 +147,10 @@ def _members(docs: DataFrame, doc_id: str, text: str, width: int, distance: int,
     blocks = F.ceil(F.col("count") / block).cast("long")
     own = F.pmod(F.xxhash64("fp"), blocks)
     # A block meets itself and every other block; with one block that is one row.
+    # Spark sizes ``keyed`` as if it had one row a fingerprint, so left to itself it may broadcast all of the keys.
     posted = (
         keyed.withColumn("k", F.struct("key"))
+        .hint("merge")
         .join(lists, "k")
         .select("key", "fp", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
         .select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")

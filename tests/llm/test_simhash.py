@@ -3,10 +3,12 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tests.llm.data import docs, odd_rows, words
 
+from hrflow.llm.common import Scratch
 from hrflow.llm.simhash_dedup import _index_keys, _links, _spanning, drop_simhash_duplicates, fingerprint, linked, simhash_components, tallies
 
 
@@ -143,3 +145,16 @@ def test_rows_made_for_a_group_grow_in_proportion(spark):
         fps = np.unique(np.array([fingerprint(t.encode()) for _, t in rows], np.uint64))
         counts.append((len(fps), len(_spanning(fps, 3))))
     assert all(edges < entries for entries, edges in counts)
+
+
+@pytest.mark.parametrize("narrow", [simhash_components, drop_simhash_duplicates])
+def test_index_keys_are_never_broadcast(spark, monkeypatch, narrow):
+    plans, save = {}, Scratch.save
+
+    def saved(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return save(self, df, name)
+
+    monkeypatch.setattr(Scratch, "save", saved)
+    narrow(docs(spark, [(i, words(i, 30)) for i in range(5)]))
+    assert "SortMergeJoin" in plans["edges-0"] and "Broadcast" not in plans["edges-0"]
