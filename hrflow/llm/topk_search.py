@@ -13,6 +13,8 @@ from hrflow.llm.common import Scratch
 
 #: Up to this sum of products float64 is exact for integers.
 EXACT = float(1 << 53)
+#: Bytes of candidates that one task holds.
+SLOT = 32 << 20
 
 
 def scaled(df: DataFrame, vec_id: str, vector: str, scale: float) -> DataFrame:
@@ -149,28 +151,26 @@ class _Best:
 
 
 def _search(k: int, resolutions: tuple[int, ...], step: int):
-    """Keeps the best of one query block over all candidate blocks of the task; rows are sorted by query block."""
-
-    def rows(block: int, best: _Best) -> pa.RecordBatch:
-        found = best.rows()
-        return found.add_column(0, "block", pa.array([block] * found.num_rows, pa.int64()))
+    """The best of each query block over all candidate blocks of its slot; of a slot the candidates (no block number) come first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, best = None, None
+        slot, held = None, []
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["block"] != block:
-                    if best is not None:
-                        yield rows(block, best)
-                    ids = np.frombuffer(row["q_ids"], np.int64)
-                    q = _matrix(ids, row["q_vectors"], row["q_dims"])
-                    block, best = row["block"], _Best(ids, np.frombuffer(row["q_nth"], np.int64), q, k)
+            for at in range(batch.num_rows):  # row by row: only what is held is copied
+                row = {c: batch.column(c)[at].as_py() for c in ("slot", "block", "dims", "ids", "nth", "vectors")}
+                if row["slot"] != slot:
+                    slot, held = row["slot"], []
                 ids, nth = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["nth"], np.int64)
                 x = _matrix(ids, row["vectors"], row["dims"])
-                for at in range(0, len(ids), step):
-                    best.search(ids[at : at + step], nth[at : at + step], x[at : at + step], resolutions)
-        if best is not None:
-            yield rows(block, best)
+                if row["block"] is None:
+                    held.append((ids, nth, x))
+                    continue
+                best = _Best(ids, nth, x, k)
+                for other, numbers, y in held:
+                    for i in range(0, len(other), step):
+                        best.search(other[i : i + step], numbers[i : i + step], y[i : i + step], resolutions)
+                found = best.rows()
+                yield found.add_column(0, "block", pa.array([row["block"]] * found.num_rows, pa.int64()))
 
     return run
 
@@ -191,8 +191,8 @@ def top_k(
     Components count as floor(scale * x). Ties go to the smaller vec_id; a query is not its own candidate (id, vector and, among
     equal rows, the copy are its own); with fewer than ``k`` candidates all are returned.
 
-    Method: both sides are packed into blocks of rows, and every block of queries meets every block of candidates. In a task, means and
-    deviations of 1, 4 and 16 segments bound the inner products from above, coarse to fine; only candidates
+    Method: both sides are packed into blocks of rows, and every block of queries meets every block of candidates: a task holds its
+    slot of candidates while all query blocks pass. There, means and deviations of 1, 4 and 16 segments bound the inner products from above, coarse to fine; only candidates
     whose bound reaches some query's k-th best score so far are scored exactly. A task's rows are k for each query
     it saw, whatever the number of candidates.
 
@@ -210,15 +210,15 @@ def top_k(
 
     right = side(vectors, block, "candidates", k + 1)
     left = side(queries, query_block, "queries").withColumn("block", F.monotonically_increasing_id())
-    left = scratch.save(left.withColumnsRenamed({"dims": "q_dims", "ids": "q_ids", "nth": "q_nth", "vectors": "q_vectors"}), "query-blocks")
-    # Candidates are dealt into as many slots as there are tasks for; each slot receives all query blocks once.
-    slots = max(1, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = right.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots)))
-    asked = left.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
-    met = asked.join(dealt, "slot").sortWithinPartitions("block")
-    found = met.select("block", "q_dims", "q_ids", "q_nth", "q_vectors", "dims", "ids", "nth", "vectors").mapInArrow(
-        _search(k, resolutions, 512), "block long, query_id long, place long, vec_id long, score long"
-    )
+    left = scratch.save(left, "query-blocks")
+    # Candidates are dealt into slots of about ``SLOT`` bytes, more if there are cores for them; each slot receives all query blocks
+    # once. Both go by exchange: Spark sizes the copies of the queries as one copy, so in a join it may broadcast them all.
+    blocks, size = right.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("vectors").cast("long")), F.lit(0))).first()
+    slots = max(1, min(blocks, max(2 * vectors.sparkSession.sparkContext.defaultParallelism, -(-size // SLOT))))
+    dealt = right.select(F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int").alias("slot"), F.lit(None).cast("long").alias("block"), *right.columns)
+    asked = left.select(F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"), "block", *right.columns)
+    met = dealt.union(asked).repartitionById(slots, "slot").sortWithinPartitions("slot", F.col("block").asc_nulls_first())
+    found = met.mapInArrow(_search(k, resolutions, 512), "block long, query_id long, place long, vec_id long, score long")
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
     return (
         found.groupBy("query_id", "block", "place")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from hrflow.llm import topk_search
 from hrflow.llm.topk_search import _statistics, top_k
 
 SCHEMA = "vec_id long, embedding array<double>, label int, v string, block string, slot string, ids string"
@@ -77,3 +78,14 @@ def test_bounds_hold_at_every_resolution():
 def test_empty(spark):
     full, none = table(spark, [(1, [1.0]), (2, [2.0])]), table(spark, [])
     assert top_k(none, full).count() == top_k(full, none).count() == top_k(none, none).count() == 0
+
+
+def test_copies_of_queries_are_never_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SLOT", 500)
+    r = np.random.default_rng(5)
+    rows = [(i, r.integers(-3, 4, 9).astype(float).tolist()) for i in range(200)]
+    df = table(spark, rows)
+    got = top_k(df, df.filter(F.col("vec_id") % 10 == 0), scale=1.0, query_block=3, block=4)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    ints = [(i, [int(x) for x in v]) for i, v in rows]
+    assert sorted(map(tuple, got.collect())) == slow(ints, [x for x in ints if x[0] % 10 == 0], 5)
