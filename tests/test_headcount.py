@@ -219,6 +219,24 @@ def test_organisation_by_month_against_daily_rows(spark, org, monkeypatch, toget
     assert sorted(tuple(r) for r in got.select(*fields).collect()) == want
 
 
+def test_sums_of_whole_groups_travel_once(spark, monkeypatch):
+    """Keys of any text, intervals that overlap, repeat, end before they start and lie in one month."""
+    days = lambda n: START + dt.timedelta(n)
+    keys = ["0a" * 16, "ab", "0A", "abc", "é", "", "x" * 16]
+    held = [(e, a, 1 + i % 2, days(7 * i + 3 * j), days(7 * i + 3 * j + k)) for i, e in enumerate(keys) for j, a in enumerate((*keys[:3], None)) for k in (40, 5, 5, -9)]
+    chain = spark.createDataFrame(held, "employee_key string, ancestor_employee_key string, depth int, from_date date, to_date date")
+    groups = {}
+    for e, a, depth, first, last in held:
+        for n in range((last - first).days + 1):
+            groups.setdefault(((first + dt.timedelta(n)).replace(day=1), a, depth), []).append(e)
+    want = sorted([(*k, len(v), len(set(v)), min(v), max(v)) for k, v in groups.items()], key=repr)
+    for together in (5, 100_000):
+        monkeypatch.setattr(hierarchy, "ROWS_TOGETHER", together)
+        got = hierarchy.org_by_period(chain, "month")
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+    assert "hashpartitioning(month" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spans(spark, org):
     w, v, wd, _, ep, iv = org
     day = dt.date(2024, 2, 20)

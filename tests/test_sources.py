@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hrflow.operators.dedupe import latest, latest_record
-from hrflow.operators.storage import Rounds, cut_lineage, materialize, scratch_scope, shared_folder
+from hrflow.operators.storage import SHUFFLE_CLEANUP, Rounds, cut_lineage, materialize, scratch_scope, shared_folder
 from hrflow.sources import landing
 from hrflow.sources.documents import as_documents, field_text, read_documents, unfurl
 from hrflow.sources.flatten import BASE_MODELS, SOURCE_OBJECTS, base_model
@@ -309,3 +309,14 @@ def test_extract_files_are_parsed_once(spark, tmp_path):
         ("w1|2024-02-01", {"effective_date": "2024-02-01", "worker_id": "w1", "profile_version_id": "w1|2024-02-01", **stamp}),
     ]
     assert [r["count"] for r in rejected(spark, str(tmp_path / "raw")).collect()] == [1]
+
+
+def test_stored_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(SHUFFLE_CLEANUP)
+    table = cut_lineage(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count())
+    assert not shuffled() - before and table.count() == 7
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
